@@ -465,6 +465,9 @@ ORACLE: dict[str, str] = {
     "message_user_day": query(message_user_day()),
     "message_user_day_literal": query(message_user_day(literal=True)),
     "feed_message_join": query("SELECT * FROM joined", *JOINED),
+    "feed_message_join_literal": query(f"""
+SELECT * FROM ({feed_user_day("count(action = 'view')", "count(action = 'like')")}) f
+JOIN ({message_user_day(literal=True)}) m USING (user_id, event_date, os, gender, age)"""),
     "feed_message_join_full": FULL_JOIN,
     "slice_by_os": slice_by("os"),
     "slice_by_age": slice_by("age"),

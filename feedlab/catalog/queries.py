@@ -170,8 +170,10 @@ QUERIES: dict[str, Query] = {
     "feed_user_day_literal": _on_feed(lambda feed: slices.feed_user_day(feed, literal=True)),
     "message_user_day": _on_messages(slices.message_user_day),
     "message_user_day_literal": _on_messages(
-        lambda messages: slices.message_user_day(messages, p.LITERAL_DAY, literal=True)),
+        lambda messages: slices.message_user_day_literal(messages, p.LITERAL_DAY)),
     "feed_message_join": _on_both(daily_load.joined_day),
+    "feed_message_join_literal": _on_both(
+        lambda feed, messages: daily_load.joined_day_literal(feed, messages, p.LITERAL_DAY)),
     "feed_message_join_full": _on_both(lambda feed, messages: daily_load.joined_day(feed, messages, how="full")),
     "slice_by_os": _on_both(lambda feed, messages: slices.slice_by(daily_load.joined_day(feed, messages), "os")),
     "slice_by_age": _on_both(lambda feed, messages: slices.slice_by(daily_load.joined_day(feed, messages), "age")),
@@ -213,7 +215,8 @@ QUERIES: dict[str, Query] = {
     "user_ctr": _on_feed(_ab_users),
     "group_sizes": _on_feed(lambda feed: experiments.group_sizes(_aa_users(feed))),
     "welch_ctr": _on_feed(lambda feed: hypothesis.welch(_ab_users(feed), "ctr", p.AB_PAIR)),
-    "linearized_likes": _on_feed(lambda feed: experiments.linearized_likes(_ab_users(feed), p.AB_PAIR[0])),
+    "linearized_likes": _on_feed(
+        lambda feed: experiments.linearized_likes(checkpointed(_ab_users(feed)), p.AB_PAIR[0])),
     "welch_linearized_12": _on_feed(lambda feed: hypothesis.welch_linearized(_ab_users(feed), *p.AB_PAIR)),
     "welch_linearized_03": _on_feed(
         lambda feed: hypothesis.welch_linearized(_ab_users(feed, p.OTHER_PAIR), *p.OTHER_PAIR)),
@@ -222,11 +225,11 @@ QUERIES: dict[str, Query] = {
         lambda feed: hypothesis.mann_whitney(_bucket_ctr(feed), "bucket_ctr", p.AB_PAIR)),
     "mann_whitney_users": _on_feed(lambda feed: hypothesis.mann_whitney(_ab_users(feed), "ctr", p.AB_PAIR)),
     "ctr_histogram": _on_feed(
-        lambda feed: histograms.histogram(checkpointed(_ab_users(feed)), "ctr", by=["exp_group"])),
+        lambda feed: histograms.histogram(checkpointed(_ab_users(feed)), "ctr", by="exp_group", members=p.AB_PAIR)),
     "ctr_histogram_by_group": _on_feed(
-        lambda feed: histograms.histogram(checkpointed(_ab_users(feed)), "ctr", by=["exp_group"], common=True)),
+        lambda feed: histograms.histogram(checkpointed(_ab_users(feed)), "ctr", by="exp_group", members=p.AB_PAIR, common=True)),
     "bucket_histogram": _on_feed(
-        lambda feed: histograms.histogram(checkpointed(_bucket_ctr(feed)), "bucket_ctr", by=["exp_group"])),
+        lambda feed: histograms.histogram(checkpointed(_bucket_ctr(feed)), "bucket_ctr", by="exp_group", members=p.AB_PAIR)),
     # resampling
     "sample_n_per_group": _on_feed(_sample),
     "aa_simulation": _on_feed(_simulation),
@@ -236,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "poisson_bootstrap": _on_feed(_bootstrap),
     "bootstrap_diff_ci": _on_feed(lambda feed: resampling.difference_interval(_differences(feed))),
     "bootstrap_histogram": _on_feed(
-        lambda feed: histograms.histogram(checkpointed(_bootstrap(feed)), "ctr", by=["exp_group"])),
+        lambda feed: histograms.histogram(checkpointed(_bootstrap(feed)), "ctr", by="exp_group", members=p.AB_PAIR)),
     "bootstrap_diff_histogram": _on_feed(
         lambda feed: histograms.histogram(checkpointed(_differences(feed)), "difference")),
     # streams

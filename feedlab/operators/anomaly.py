@@ -23,12 +23,18 @@ def long_series(wide: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     return doubles.unpivot("ts", names, "metric", "value")
 
 
+def _ordered() -> Window:
+    return Window.partitionBy("metric").orderBy("ts")
+
+
 def densify(series: DataFrame, step: str = "15 minutes") -> DataFrame:
     """Add the grid steps a series skips between its first and last row, with NULL values."""
-    ends = series.groupBy("metric").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-    steps = ends.select("metric", F.explode(
-        F.sequence("first", "last", F.expr(f"INTERVAL {step}"))).alias("ts"))
-    return steps.join(series, ["metric", "ts"], "left").select(*series.columns)
+    width = F.expr(f"INTERVAL {step}")
+    gap_end = F.coalesce(F.lead("ts").over(_ordered()) - width, F.col("ts"))
+    filled = (series.withColumn("_steps", F.sequence("ts", gap_end, width))
+              .withColumn("_at", F.explode("_steps")))
+    return filled.select(F.col("_at").alias("ts"), "metric",
+                         F.when(F.col("_at") == F.col("ts"), F.col("value")).alias("value"))
 
 
 def iqr_bands(series: DataFrame, a: float = FACTOR, n: int = WINDOW, smooth: bool = False) -> DataFrame:
@@ -37,7 +43,7 @@ def iqr_bands(series: DataFrame, a: float = FACTOR, n: int = WINDOW, smooth: boo
     NULL unless all ``n`` rows before are there and have a value. ``smooth``
     replaces the upper band by its centred and the lower by its trailing mean.
     """
-    ordered = Window.partitionBy("metric").orderBy("ts")
+    ordered = _ordered()
     before = ordered.rowsBetween(-n, -1)
 
     def quartile(q: float) -> Column:
@@ -60,18 +66,16 @@ def iqr_bands(series: DataFrame, a: float = FACTOR, n: int = WINDOW, smooth: boo
 def flagged(bands: DataFrame) -> DataFrame:
     """Add ``is_alert`` and the deviation from the row before."""
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("up"))
-    previous = F.lag("value").over(Window.partitionBy("metric").orderBy("ts"))
     return (bands
             .withColumn("is_alert", F.coalesce(outside, F.lit(False)).cast("int"))
-            .withColumn("previous", previous)
+            .withColumn("previous", F.lag("value").over(_ordered()))
             .withColumn("deviation", F.abs(1 - ratio("value", "previous"))))
 
 
 def latest(rows: DataFrame) -> DataFrame:
     """Last row of every metric."""
-    newest = Window.partitionBy("metric").orderBy(F.desc("ts"))
-    return (rows.withColumn("_n", F.row_number().over(newest))
-            .filter(F.col("_n") == 1).drop("_n"))
+    return (rows.withColumn("_next", F.lead("ts").over(_ordered()))
+            .filter(F.col("_next").isNull()).drop("_next"))
 
 
 def alerts(wide: DataFrame, a: float = FACTOR, n: int = WINDOW, smooth: bool = False,

@@ -24,13 +24,31 @@ def user_active_days(feed: DataFrame) -> DataFrame:
     return feed.select("user_id", day().alias("date")).distinct()
 
 
+def arrivals(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """New users of yesterday, and first-day retention of those of the day before; one row.
+
+    Rows after yesterday change neither, so they are not read.
+    """
+    start, back = (F.lit(clock.days_before(as_of, n)) for n in (2, 1))
+    users = (feed.filter((day() <= back) & F.col("user_id").isNotNull()).groupBy("user_id")
+             .agg(F.min(day()).alias("first"), F.max(day()).alias("last")))
+    cohort = F.col("first") == start
+    return users.agg(
+        F.count_if(F.col("first") == back).alias("new_users"),
+        start.alias("start_date"),
+        F.count_if(cohort).alias("cohort_size"),
+        F.count_if(cohort & (F.col("last") == back)).alias("returned"),
+    ).withColumn("retention_pct", ratio("returned", "cohort_size") * 100)
+
+
 def new_users(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Number of users whose first day is the day before ``as_of``."""
-    start = F.lit(clock.days_before(as_of, 1))
-    # later rows cannot change whether the first day equals ``start``
-    first = (feed.filter(day() <= start).groupBy("user_id")
-             .agg(F.min(day()).alias("start_date")))
-    return first.filter(F.col("start_date") == start).agg(F.count("user_id").alias("new_users"))
+    return arrivals(feed, as_of).select("new_users")
+
+
+def retention_day1(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """Share of users first seen two days before ``as_of`` who came back the next day."""
+    return arrivals(feed, as_of).select("start_date", "cohort_size", "returned", "retention_pct")
 
 
 def _came_on(word: int, offset: Column) -> Column:
@@ -62,17 +80,6 @@ def cohort_days(feed: DataFrame, start: dt.date, last: dt.date) -> DataFrame:
             .select("start_date", F.date_add("start_date", F.col("offset")).alias("date"), "users"))
 
 
-def retention_day1(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """Share of users first seen two days before ``as_of`` who came back the next day."""
-    start, back = clock.days_before(as_of, 2), clock.days_before(as_of, 1)
-    counts = cohort_days(feed, start, back)
-    size = F.coalesce(F.sum(F.when(F.col("date") == F.lit(start), F.col("users"))), F.lit(0))
-    again = F.coalesce(F.sum(F.when(F.col("date") == F.lit(back), F.col("users"))), F.lit(0))
-    return counts.agg(size.alias("cohort_size"), again.alias("returned")).select(
-        F.lit(start).alias("start_date"), "cohort_size", "returned",
-        (ratio("returned", "cohort_size") * 100).alias("retention_pct"))
-
-
 def retention_curve(feed: DataFrame, as_of: dt.date | str, age: int = 28) -> DataFrame:
     """Users per day of the cohort that started ``age`` days before ``as_of``."""
     cohort = Window.partitionBy("start_date")  # at most age + 1 rows

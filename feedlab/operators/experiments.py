@@ -37,6 +37,7 @@ def linearized_likes(users: DataFrame, control_group: int) -> DataFrame:
     """Likes minus the likes expected from the user's views at the control group's CTR.
 
     The control CTR is one number; it enters the plan as a scalar subquery.
+    ``users`` is read twice: pass a checkpointed frame if it is dear.
     """
     control = (users.filter(F.col("exp_group") == control_group)
                .agg(ratio(F.sum("likes"), F.sum("views")).alias("ctr")).scalar())

@@ -9,62 +9,72 @@ MARGIN = 0.001      # bracket half-width, ten times that error
 SMALL = 10_000      # up to here the bracket is the whole range
 
 
-def attach(rows: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
-    """Add the columns of ``stats`` to the rows of the same key.
+def grouped(rows: DataFrame, by: str | None, members: list | None) -> tuple[DataFrame, list[str]]:
+    """Rows of the named groups, and the grouping columns.
 
-    ``stats`` has one row per experiment group, so it is copied to the tasks;
-    without keys it is a single row and enters as a scalar subquery.
+    The groups are listed by the caller, so per-group statistics have at most
+    that many rows and can be copied to every task.
     """
-    if by:
-        return rows.join(F.broadcast(stats), by)
+    if by is None:
+        return rows, []
+    if not members:
+        raise ValueError(f"name the groups of {by}")
+    return rows.filter(F.col(by).isin(list(members))), [by]
+
+
+def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the statistics of the row's group; without groups they are one row, a scalar subquery."""
+    if keys:
+        return rows.join(F.broadcast(stats), keys)
     one = stats.select(F.struct(*stats.columns).alias("one")).scalar()
     return rows.withColumn("_one", one).select(*rows.columns, "_one.*")
 
 
-def summary(rows: DataFrame, value: str, by: list[str], probs: list[float]) -> DataFrame:
+def brackets(rows: DataFrame, value: str, keys: list[str], probs: list[float]) -> DataFrame:
     """Count, range and, per probability, a bracket that surely holds the quantile."""
     ends = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
-    stats = rows.filter(F.col(value).isNotNull()).groupBy(*by).agg(
+    stats = rows.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"),
         F.percentile_approx(value, ends, ACCURACY).alias("ends"))
-    brackets = F.array(*[
+    bounds = F.array(*[
         F.struct(
             F.lit(p).alias("prob"),
             F.when(F.col("n") <= SMALL, F.col("low")).otherwise(F.col("ends")[i].cast("double")).alias("from"),
             F.when(F.col("n") <= SMALL, F.col("high"))
              .otherwise(F.col("ends")[i + len(probs)].cast("double")).alias("to"))
         for i, p in enumerate(probs)])
-    return stats.select(*by, "n", "low", "high", brackets.alias("brackets"))
+    return stats.select(*keys, "n", bounds.alias("brackets"))
 
 
-def exact_quantiles(rows: DataFrame, value: str, by: list[str], probs: list[float]) -> DataFrame:
-    """Linearly interpolated quantiles, one row per ``by`` key and probability.
+def exact_quantiles(rows: DataFrame, value: str, probs: list[float], by: str | None = None,
+                    members: list | None = None) -> DataFrame:
+    """Linearly interpolated quantiles, one row per group and probability.
 
     First an approximate pass brackets each quantile to about 0.2 % of the rows;
     then rows below the bracket are counted and only distinct values inside it
     are ordered. ``rows`` is read twice: pass a checkpointed frame if it is dear.
     """
+    rows, keys = grouped(rows.filter(F.col(value).isNotNull()), by, members)
     x = F.col(value).cast("double")
-    known = rows.filter(F.col(value).isNotNull())
-    bracketed = (attach(known.select(*by, x.alias("x")), summary(rows, value, by, probs), by)
-                 .select(*by, "n", "x", F.explode("brackets").alias("b"))
+    bracketed = (attach(rows.select(*keys, x.alias("x")), brackets(rows, value, keys, probs), keys)
+                 .select(*keys, "n", "x", F.explode("brackets").alias("b"))
                  .filter(F.col("x") <= F.col("b.to")))
     inside = F.when(F.col("x") >= F.col("b.from"), F.col("x"))
-    counts = (bracketed.groupBy(*by, "n", F.col("b.prob").alias("prob"), inside.alias("x"))
+    counts = (bracketed.groupBy(*keys, "n", F.col("b.prob").alias("prob"), inside.alias("x"))
               .agg(F.count(F.lit(1)).alias("rows")))
-    ordered = Window.partitionBy(*by, "prob").orderBy(F.asc_nulls_first("x"))
-    rank = F.col("prob") * (F.col("n") - 1)
+    ordered = Window.partitionBy(*keys, "prob").orderBy(F.asc_nulls_first("x"))
     placed = (counts.withColumn("upto", F.sum("rows").over(ordered))
-              .withColumn("rank", rank).filter(F.col("x").isNotNull()))
+              .withColumn("rank", F.col("prob") * (F.col("n") - 1))
+              .filter(F.col("x").isNotNull()))
 
     def at(position: Column) -> Column:
         return F.min(F.when(F.col("upto") > position, F.col("x")))
 
-    picked = placed.groupBy(*by, "prob", "n", "rank").agg(
+    picked = placed.groupBy(*keys, "prob", "rank").agg(
         at(F.floor("rank")).alias("lower"), at(F.ceil("rank")).alias("upper"),
         (F.min(F.col("upto") - F.col("rows")) <= F.floor("rank")).alias("covered"))
     sure = F.when(F.col("covered") & F.col("upper").isNotNull(), F.col("lower")).otherwise(
         F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
     step = (F.col("upper") - F.col("lower")) * (F.col("rank") - F.floor("rank"))
-    return picked.select(*by, "prob", (sure + step).alias("quantile"))
+    return picked.select(*keys, "prob", (sure + step).alias("quantile"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedlab.functions.clock import as_date, day
 from feedlab.functions.ratios import count_action, is_action
@@ -32,29 +32,55 @@ def feed_user_day(feed: DataFrame, on: dt.date | str | None = None, literal: boo
             .agg(counted("view").alias("views"), counted("like").alias("likes")))
 
 
-def message_user_day(messages: DataFrame, on: dt.date | str | None = None, literal: bool = False) -> DataFrame:
+def _both_roles(messages: DataFrame) -> DataFrame:
+    """Each message twice: as sent by one user and as received by the other."""
+    sent = F.struct(F.lit("sent").alias("role"), F.col("user_id").alias("who"),
+                    F.col("reciever_id").alias("other"), *DEMOGRAPHICS)
+    nobody = [F.lit(None).cast(messages.schema[d].dataType).alias(d) for d in DEMOGRAPHICS]
+    received = F.struct(F.lit("received").alias("role"), F.col("reciever_id").alias("who"),
+                        F.col("user_id").alias("other"), *nobody)
+    return (messages.select("event_date", F.inline(F.array(sent, received)))
+            .filter(F.col("who").isNotNull() | (F.col("role") == "sent")))
+
+
+def message_user_day(messages: DataFrame, on: dt.date | str | None = None) -> DataFrame:
     """Messages and counterparties of every sender and day, 0 where nothing was received.
 
-    ``literal`` groups what was received by the demographics on the message too
-    and joins on the user alone, so a sender may come out several times.
+    One scan and no join: both roles are counted together, then a user's
+    received counts are handed to the same user's sent rows of that day.
+    """
+    counts = (_both_roles(_on(messages, on))
+              .groupBy("who", "event_date", "role", *DEMOGRAPHICS)
+              .agg(F.count("other").alias("messages"), F.count_distinct("other").alias("users")))
+    same_user = Window.partitionBy("who", "event_date")
+
+    def received(counter: str) -> Column:
+        mine = F.when(F.col("role") == "received", F.col(counter))
+        return F.coalesce(F.max(mine).over(same_user), F.lit(0)).alias(f"{counter}_received")
+
+    return (counts.select("who", "event_date", "role", *DEMOGRAPHICS, "messages", "users",
+                          received("messages"), received("users"))
+            .filter(F.col("role") == "sent")
+            .select(F.col("who").alias("user_id"), "event_date", *DEMOGRAPHICS,
+                    F.col("messages").alias("messages_sent"), "messages_received",
+                    F.col("users").alias("users_sent"), "users_received"))
+
+
+def message_user_day_literal(messages: DataFrame, on: dt.date | str) -> DataFrame:
+    """The same with received messages grouped by the demographics on the message too.
+
+    The lookup is by user alone, so a sender comes out once per demographic
+    group that wrote to them. Defined for one day.
     """
     rows = _on(messages, on)
     sent = rows.groupBy(*USER_DAY).agg(
         F.count("reciever_id").alias("messages_sent"),
         F.count_distinct("reciever_id").alias("users_sent"))
-    by = ["reciever_id", "event_date", *(DEMOGRAPHICS if literal else [])]
-    received = rows.groupBy(*by).agg(
+    received = rows.groupBy(F.col("reciever_id").alias("user_id"), *DEMOGRAPHICS).agg(
         F.count("user_id").alias("messages_received"),
-        F.count_distinct("user_id").alias("users_received"))
-    keep = [F.col("reciever_id").alias("user_id"), "messages_received", "users_received"]
-    if literal:
-        if on is None:
-            raise ValueError("the literal form is defined for one day")
-        joined = sent.join(received.select(*keep), "user_id", "left")
-    else:
-        joined = sent.join(received.select(*keep, "event_date"), ["user_id", "event_date"], "left")
-    return joined.na.fill(0, ["messages_received", "users_received"]).select(
-        *USER_DAY, "messages_sent", "messages_received", "users_sent", "users_received")
+        F.count_distinct("user_id").alias("users_received")).drop(*DEMOGRAPHICS)
+    return (sent.join(received, "user_id", "left").na.fill(0, ["messages_received", "users_received"])
+            .select(*USER_DAY, "messages_sent", "messages_received", "users_sent", "users_received"))
 
 
 def join_user_day(feed_stats: DataFrame, message_stats: DataFrame, how: str = "inner") -> DataFrame:

@@ -12,10 +12,15 @@ from feedlab.sinks.tables import write_slices
 
 
 def joined_day(feed: DataFrame, messages: DataFrame, on: dt.date | str | None = None,
-               how: str = "inner", literal: bool = False) -> DataFrame:
+               how: str = "inner") -> DataFrame:
     """Per-user statistics of a day (all days without ``on``)."""
-    return slices.join_user_day(slices.feed_user_day(feed, on, literal),
-                                slices.message_user_day(messages, on, literal), how)
+    return slices.join_user_day(slices.feed_user_day(feed, on), slices.message_user_day(messages, on), how)
+
+
+def joined_day_literal(feed: DataFrame, messages: DataFrame, on: dt.date | str) -> DataFrame:
+    """The same from the literal statistics."""
+    return slices.join_user_day(slices.feed_user_day(feed, on, literal=True),
+                                slices.message_user_day_literal(messages, on))
 
 
 def load_day(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, path: str) -> None:

@@ -30,9 +30,8 @@ def daily_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 def app_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row: the message with yesterday's new users and first-day retention."""
-    arrived = cohorts.new_users(feed, as_of).scalar()
-    return cohorts.retention_day1(feed, as_of).select(F.format_string(
-        APP_TEXT, arrived,
+    return cohorts.arrivals(feed, as_of).select(F.format_string(
+        APP_TEXT, "new_users",
         F.coalesce(text.two_decimals(F.col("retention_pct")), F.lit("nan"))).alias("message"))
 
 
