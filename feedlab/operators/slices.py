@@ -34,13 +34,16 @@ def feed_user_day(feed: DataFrame, on: dt.date | str | None = None, literal: boo
 
 def _both_roles(messages: DataFrame) -> DataFrame:
     """Each message twice: as sent by one user and as received by the other."""
-    sent = F.struct(F.lit("sent").alias("role"), F.col("user_id").alias("who"),
-                    F.col("reciever_id").alias("other"), *DEMOGRAPHICS)
-    nobody = [F.lit(None).cast(messages.schema[d].dataType).alias(d) for d in DEMOGRAPHICS]
-    received = F.struct(F.lit("received").alias("role"), F.col("reciever_id").alias("who"),
-                        F.col("user_id").alias("other"), *nobody)
-    return (messages.select("event_date", F.inline(F.array(sent, received)))
-            .filter(F.col("who").isNotNull() | (F.col("role") == "sent")))
+    sent = F.col("is_sent")
+
+    def either(if_sent: str, if_received: str) -> Column:
+        return F.when(sent, F.col(if_sent)).otherwise(F.col(if_received))
+
+    return (messages.withColumn("is_sent", F.explode(F.array(F.lit(True), F.lit(False))))
+            .select("event_date", "is_sent", either("user_id", "reciever_id").alias("who"),
+                    either("reciever_id", "user_id").alias("other"),
+                    *[F.when(sent, F.col(d)).alias(d) for d in DEMOGRAPHICS])
+            .filter(sent | F.col("who").isNotNull()))
 
 
 def message_user_day(messages: DataFrame, on: dt.date | str | None = None) -> DataFrame:
@@ -50,17 +53,17 @@ def message_user_day(messages: DataFrame, on: dt.date | str | None = None) -> Da
     received counts are handed to the same user's sent rows of that day.
     """
     counts = (_both_roles(_on(messages, on))
-              .groupBy("who", "event_date", "role", *DEMOGRAPHICS)
+              .groupBy("who", "event_date", "is_sent", *DEMOGRAPHICS)
               .agg(F.count("other").alias("messages"), F.count_distinct("other").alias("users")))
     same_user = Window.partitionBy("who", "event_date")
 
     def received(counter: str) -> Column:
-        mine = F.when(F.col("role") == "received", F.col(counter))
+        mine = F.when(~F.col("is_sent"), F.col(counter))
         return F.coalesce(F.max(mine).over(same_user), F.lit(0)).alias(f"{counter}_received")
 
-    return (counts.select("who", "event_date", "role", *DEMOGRAPHICS, "messages", "users",
+    return (counts.select("who", "event_date", "is_sent", *DEMOGRAPHICS, "messages", "users",
                           received("messages"), received("users"))
-            .filter(F.col("role") == "sent")
+            .filter("is_sent")
             .select(F.col("who").alias("user_id"), "event_date", *DEMOGRAPHICS,
                     F.col("messages").alias("messages_sent"), "messages_received",
                     F.col("users").alias("users_sent"), "users_received"))
