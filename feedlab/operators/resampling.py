@@ -50,9 +50,11 @@ def _drawn(n: int, seed: int | str, method: str) -> Column:
     From a population over four samples large: numbers drawn with replacement,
     the first ``n`` different ones. At most every fourth draw repeats, so among
     2n + 64 draws ``n`` different ones are missed with a chance below 1e-20, and
-    that raises. From a smaller one: all numbers in hash order, the first ``n``.
+    the caller raises then. From a smaller one: all numbers in hash order, the
+    first ``n``.
     """
     population = F.col("population")
+
     def draw(i: Column) -> Column:
         return hashing.hash_long(F.lit(seed), F.col("exp_group"), F.col("iteration"), i, method=method)
 
@@ -61,11 +63,7 @@ def _drawn(n: int, seed: int | str, method: str) -> Column:
     shuffled = F.transform(F.slice(F.array_sort(F.transform(
         F.sequence(F.lit(0).cast("long"), population - 1),
         lambda i: F.struct(draw(i).alias("key"), i.alias("i")))), 1, n), lambda s: s["i"])
-    picked = F.when(population >= 4 * n, repeated).otherwise(shuffled)
-    short = F.raise_error(F.concat(F.lit(f"cannot sample {n} of "), population.cast("string")))
-    return (F.when(population < n, short.cast("array<bigint>"))
-            .when(F.size(picked) < n, short.cast("array<bigint>"))
-            .otherwise(picked))
+    return F.when(population >= 4 * n, repeated).otherwise(shuffled)
 
 
 def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int],
@@ -73,16 +71,20 @@ def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int
     """``n`` users of each group without replacement, for every iteration.
 
     The work is iterations x n draws joined to numbered users, independent of
-    how large the groups are. Needs ``n`` users in each group.
+    how large the groups are. Raises where a group has fewer than ``n`` users.
     """
     ranked, sizes = numbered(users.filter(F.col("exp_group").isin(groups)), method)
     session = users.sparkSession
     cells = (session.range(0, iterations, 1, spread(session))
              .select(F.col("id").alias("iteration"),
                      F.explode(F.array(*[F.lit(g) for g in groups])).alias("exp_group"))
-             .join(F.broadcast(sizes), "exp_group"))  # one row per group
-    draws = cells.select("iteration", "exp_group", F.explode(_drawn(n, seed, method)).alias("number"))
-    return draws.join(ranked, ["exp_group", "number"]).drop("number")
+             .join(F.broadcast(sizes), "exp_group"))  # one row per listed group
+    short = F.raise_error(F.concat(F.lit(f"cannot sample {n} of "), F.col("population").cast("string")))
+    whole = F.when(F.size("drawn") < n, short.cast("array<bigint>")).otherwise(F.col("drawn"))
+    draws = (cells.withColumn("drawn", _drawn(n, seed, method))
+             .select("iteration", "exp_group", F.explode(whole).alias("number")))
+    # numbers are spread evenly, so each task hashes its even share of the users
+    return draws.join(ranked.hint("shuffle_hash"), ["exp_group", "number"]).drop("number")
 
 
 def aa_simulation(users: DataFrame, pair: tuple[int, int] = (2, 3), n: int = SAMPLE,

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # compact user-level frames shuffle into many small blocks; let AQE merge them
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # hash instead of sort for joins whose partitions all turn out small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # keeps streaming state off the JVM heap
