@@ -138,6 +138,9 @@ JOINED = [f"feed_stats AS ({feed_user_day()})", f"message_stats AS ({message_use
           """joined AS (
 SELECT * FROM feed_stats JOIN message_stats USING (user_id, event_date, os, gender, age))"""]
 
+JOINED_LITERAL = [f"feed_stats AS ({feed_user_day("count(action = 'view')", "count(action = 'like')")})",
+                  f"message_stats AS ({message_user_day(literal=True)})", JOINED[2]]
+
 FULL_JOIN = query("SELECT user_id, event_date, os, gender, age, "
                   + ", ".join(f"coalesce({c}, 0) AS {c}" for c in COUNTERS)
                   + " FROM feed_stats FULL JOIN message_stats USING (user_id, event_date, os, gender, age)",
@@ -150,9 +153,13 @@ def slice_by(dimension: str) -> str:
     return query(f"SELECT event_date, {dimension}, {SUMS} FROM joined GROUP BY 1, 2", *JOINED)
 
 
-SLICES = query("\nUNION ALL\n".join(
-    f"SELECT event_date, '{d}' AS dimension, CAST({d} AS VARCHAR) AS dimension_value, {SUMS} "
-    f"FROM joined GROUP BY event_date, {d}" for d in ("os", "gender", "age")), *JOINED)
+def stacked(*steps: str) -> str:
+    return query("\nUNION ALL\n".join(
+        f"SELECT event_date, '{d}' AS dimension, CAST({d} AS VARCHAR) AS dimension_value, {SUMS} "
+        f"FROM joined GROUP BY event_date, {d}" for d in ("os", "gender", "age")), *steps)
+
+
+SLICES = stacked(*JOINED)
 
 
 # --- cohorts -----------------------------------------------------------------
@@ -447,6 +454,7 @@ STREAM_SERIES = "series AS (" + " UNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "source_tsv": query(feed_user_day()),
+    "partitioned_log": daily(7),
     "sql_user_ctr": query(f"SELECT exp_group, user_id, likes, views, {six('ctr')} AS ctr FROM users", AB_USERS),
     "daily_slices_sink": SLICES,
     "audience_csv": AUDIENCE,
@@ -465,9 +473,8 @@ ORACLE: dict[str, str] = {
     "message_user_day": query(message_user_day()),
     "message_user_day_literal": query(message_user_day(literal=True)),
     "feed_message_join": query("SELECT * FROM joined", *JOINED),
-    "feed_message_join_literal": query(f"""
-SELECT * FROM ({feed_user_day("count(action = 'view')", "count(action = 'like')")}) f
-JOIN ({message_user_day(literal=True)}) m USING (user_id, event_date, os, gender, age)"""),
+    "feed_message_join_literal": query("SELECT * FROM joined", *JOINED_LITERAL),
+    "daily_slices_literal": stacked(*JOINED_LITERAL),
     "feed_message_join_full": FULL_JOIN,
     "slice_by_os": slice_by("os"),
     "slice_by_age": slice_by("age"),

@@ -85,6 +85,12 @@ def source_tsv(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_tsv(spark, path, schemas.FEED_USER_DAY)
 
 
+def partitioned_log(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "feed_log")
+    tables.write_log(_feed(spark, folder), path)
+    return rounded(activity.daily(sources.read_log(spark, path, schemas.FEED), p.AS_OF, days=7))
+
+
 def sql_user_ctr(spark: SparkSession, folder: str) -> DataFrame:
     text = """
         SELECT exp_group, user_id,
@@ -130,13 +136,11 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     messages = sources.message_actions(sources.stream_events(spark, folder))
     sides = {"feed": (buckets.feed_buckets(feed), ["users_feed", "views", "likes", "ctr"]),
              "messages": (buckets.message_buckets(messages), ["users_message"])}
-    running = [jobs.start(stream, jobs.alert_batches(metrics, f"{path}/{side}/series", f"{path}/{side}/alerts"),
-                          f"{path}/{side}/state")
+    running = [jobs.start(stream, jobs.alert_batches(metrics, f"{path}/{side}"), f"{path}/{side}/state")
                for side, (stream, metrics) in sides.items()]
     for query in running:
         query.awaitTermination()
-    found = [spark.read.schema(f"{jobs.ALERTS}, batch BIGINT").parquet(f"{path}/{side}/alerts")
-             for side in sides]
+    found = [jobs.read_alerts(spark, f"{path}/{side}") for side in sides]
     return rounded(found[0].unionByName(found[1]).select("metric", "ts", "value", "up", "low", "is_alert"))
 
 
@@ -151,6 +155,7 @@ def stream_daily_slices(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "source_tsv": source_tsv,
+    "partitioned_log": partitioned_log,
     "sql_user_ctr": sql_user_ctr,
     "daily_slices_sink": daily_slices_sink,
     "audience_csv": audience_csv,
@@ -175,6 +180,8 @@ QUERIES: dict[str, Query] = {
     "feed_message_join_literal": _on_both(
         lambda feed, messages: daily_load.joined_day_literal(feed, messages, p.LITERAL_DAY)),
     "feed_message_join_full": _on_both(lambda feed, messages: daily_load.joined_day(feed, messages, how="full")),
+    "daily_slices_literal": _on_both(lambda feed, messages: slices.daily_slices(
+        daily_load.joined_day_literal(feed, messages, p.LITERAL_DAY))),
     "slice_by_os": _on_both(lambda feed, messages: slices.slice_by(daily_load.joined_day(feed, messages), "os")),
     "slice_by_age": _on_both(lambda feed, messages: slices.slice_by(daily_load.joined_day(feed, messages), "age")),
     "slice_by_gender": _on_both(

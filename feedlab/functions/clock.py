@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Label formats of the reports and charts.
 LABEL_MONTH_FIRST = "MM/dd/yyyy"
@@ -44,6 +44,22 @@ def day(time: str = "time") -> Column:
     return F.to_date(F.col(time))
 
 
+PARTITION = "event_date"
+
+
+def on_days(rows: DataFrame, first: dt.date | None, last: dt.date) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, both included; no lower end without ``first``.
+
+    Reaches the scan as bounds on the raw timestamp, and prunes the folders of a
+    log that is partitioned by ``event_date``.
+    """
+    for when in [day()] + ([F.col(PARTITION)] if PARTITION in rows.columns else []):
+        if first is not None:
+            rows = rows.filter(when >= F.lit(first))
+        rows = rows.filter(when <= F.lit(last))
+    return rows
+
+
 def grid(time: str, step: str) -> Column:
     """Start of the ``step`` that holds ``time``; keeps the column zone-free."""
     return F.window(F.col(time), step)["start"]

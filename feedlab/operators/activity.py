@@ -11,14 +11,9 @@ from feedlab.functions.clock import day
 from feedlab.functions.ratios import count_action, is_action, ratio
 
 
-def between_days(first: dt.date, last: dt.date, time: str = "time") -> Column:
-    """Both ends included; reaches the scan as bounds on the raw timestamp."""
-    return day(time).between(F.lit(first), F.lit(last))
-
-
-def _trailing(as_of: dt.date | str, days: int) -> Column:
+def _trailing(actions: DataFrame, as_of: dt.date | str, days: int) -> DataFrame:
     """The ``days`` complete days before ``as_of``."""
-    return between_days(clock.days_before(as_of, days), clock.days_before(as_of, 1))
+    return clock.on_days(actions, clock.days_before(as_of, days), clock.days_before(as_of, 1))
 
 
 def _user_counts(feed: DataFrame, *keys: Column) -> DataFrame:
@@ -38,7 +33,7 @@ def _known(column: str) -> Column:
 
 def daily(feed: DataFrame, as_of: dt.date | str, days: int = 1) -> DataFrame:
     """DAU, views, likes and CTR of each of the ``days`` days before ``as_of``."""
-    users = _user_counts(feed.filter(_trailing(as_of, days)), day().alias("date"))
+    users = _user_counts(_trailing(feed, as_of, days), day().alias("date"))
     return users.groupBy("date").agg(
         F.count("user_id").alias("dau"),
         F.sum("views").alias("views"),
@@ -49,14 +44,14 @@ def daily(feed: DataFrame, as_of: dt.date | str, days: int = 1) -> DataFrame:
 def dau(feed: DataFrame, as_of: dt.date | str, days: int = 7, approximate: bool = False) -> DataFrame:
     """Distinct users per day; ``approximate`` trades exactness for a constant-size state."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return (feed.filter(_trailing(as_of, days)).groupBy(day().alias("date"))
+    return (_trailing(feed, as_of, days).groupBy(day().alias("date"))
             .agg(distinct("user_id").alias("dau")))
 
 
 def ctr_daily(feed: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
     """Likes per view of identified users per day."""
     known = F.col("user_id").isNotNull()
-    return (feed.filter(_trailing(as_of, days)).groupBy(day().alias("date"))
+    return (_trailing(feed, as_of, days).groupBy(day().alias("date"))
             .agg(ratio(F.count_if(known & is_action("like")),
                        F.count_if(known & is_action("view"))).alias("ctr")))
 
@@ -65,7 +60,7 @@ def dau_by_source(feed: DataFrame, as_of: dt.date | str, days: int = 14) -> Data
     """DAU per acquisition source, from ``days`` days ago up to the running day."""
     sources = ["organic", "ads"]  # fixed values
     last = clock.as_date(as_of)
-    wide = (feed.filter(between_days(clock.days_before(last, days), last))
+    wide = (clock.on_days(feed, clock.days_before(last, days), last)
             .groupBy(day().alias("date")).pivot("source", sources)
             .agg(F.count_distinct("user_id")))
     return wide.na.fill(0, sources)
@@ -78,7 +73,7 @@ def views_per_user(feed: DataFrame, as_of: dt.date | str, days: int = 14,
     The median reads (views, number of users) pairs: their count per day is at
     most the square root of twice the day's rows, whatever the number of users.
     """
-    per_user = (feed.filter(_trailing(as_of, days) & is_action("view"))
+    per_user = (_trailing(feed, as_of, days).filter(is_action("view"))
                 .groupBy(day().alias("date"), "user_id").agg(F.count("action").alias("views")))
     if approximate:
         return per_user.groupBy("date").agg(
@@ -97,11 +92,8 @@ def peak_per_hour(actions: DataFrame, on: dt.date | str, distinct: bool = False,
     ``distinct`` counts users instead of events. The day is cut on the raw
     timestamp, so only that day is read.
     """
-    start = clock.midnight(on)
     counter = F.count_distinct if distinct else F.count
-    seconds = (actions
-               .filter((F.col("time") >= clock.moment(start))
-                       & (F.col("time") < clock.moment(start + dt.timedelta(days=1))))
+    seconds = (clock.on_days(actions, clock.as_date(on), clock.as_date(on))
                .groupBy(clock.grid("time", clock.SECOND).alias("second"))
                .agg(counter("user_id").alias("users")))
     return (seconds.groupBy(clock.grid("second", clock.HOUR).alias("hour"))
@@ -118,10 +110,9 @@ def active_audience(feed: DataFrame, k: int = 10_000) -> DataFrame:
 
 
 def _quarter_hours(actions: DataFrame, since: dt.datetime | None, until: dt.datetime | None) -> DataFrame:
-    if since is not None:
-        actions = actions.filter(F.col("time") >= clock.moment(since))
-    if until is not None:
-        actions = actions.filter(F.col("time") < clock.moment(until))
+    if since is not None and until is not None:
+        actions = clock.on_days(actions, since.date(), until.date()).filter(
+            (F.col("time") >= clock.moment(since)) & (F.col("time") < clock.moment(until)))
     return actions.withColumn("ts", clock.grid("time", clock.QUARTER_HOUR))
 
 

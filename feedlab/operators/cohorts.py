@@ -30,7 +30,8 @@ def arrivals(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     Rows after yesterday change neither, so they are not read.
     """
     start, back = (F.lit(clock.days_before(as_of, n)) for n in (2, 1))
-    users = (feed.filter((day() <= back) & F.col("user_id").isNotNull()).groupBy("user_id")
+    users = (clock.on_days(feed, None, clock.days_before(as_of, 1))
+             .filter(F.col("user_id").isNotNull()).groupBy("user_id")
              .agg(F.min(day()).alias("first"), F.max(day()).alias("last")))
     cohort = F.col("first") == start
     return users.agg(
@@ -69,7 +70,7 @@ def cohort_days(feed: DataFrame, start: dt.date, last: dt.date) -> DataFrame:
     horizon = (last - start).days
     words = range(horizon // BITS + 1)
     offset = F.datediff(day(), F.lit(start))
-    users = (feed.filter((day() <= F.lit(last)) & F.col("user_id").isNotNull())
+    users = (clock.on_days(feed, None, last).filter(F.col("user_id").isNotNull())
              .groupBy("user_id")
              .agg(F.min(day()).alias("start_date"),
                   *[_came_on(w, offset).alias(f"days_{w}") for w in words])

@@ -7,16 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from feedlab.functions import hashing
-from feedlab.functions.clock import as_date
+from feedlab.functions.clock import as_date, on_days
 from feedlab.functions.ratios import count_action, ratio
-from feedlab.operators.activity import between_days
 
 BUCKETS = 50  # fixed value
 
 
 def user_ctr(feed: DataFrame, first: dt.date | str, last: dt.date | str, groups: list[int]) -> DataFrame:
     """Likes, views and CTR per user of the given groups; both days included."""
-    return (feed.filter(between_days(as_date(first), as_date(last)) & F.col("exp_group").isin(groups))
+    return (on_days(feed, as_date(first), as_date(last)).filter(F.col("exp_group").isin(groups))
             .groupBy("exp_group", "user_id")
             .agg(count_action("like").alias("likes"), count_action("view").alias("views"))
             .withColumn("ctr", ratio("likes", "views")))

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedlab.functions.clock import as_date, day
+from feedlab.functions.clock import PARTITION, as_date, day, on_days
 from feedlab.functions.ratios import count_action, is_action
 
 DEMOGRAPHICS = ["os", "gender", "age"]
@@ -15,8 +15,9 @@ COUNTERS = ["views", "likes", "messages_sent", "messages_received", "users_sent"
 
 
 def _on(rows: DataFrame, on: dt.date | str | None) -> DataFrame:
-    dated = rows.withColumn("event_date", day())
-    return dated if on is None else dated.filter(F.col("event_date") == F.lit(as_date(on)))
+    if on is not None:
+        rows = on_days(rows, as_date(on), as_date(on))
+    return rows if PARTITION in rows.columns else rows.withColumn(PARTITION, day())
 
 
 def feed_user_day(feed: DataFrame, on: dt.date | str | None = None, literal: bool = False) -> DataFrame:

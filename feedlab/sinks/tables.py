@@ -1,13 +1,12 @@
-"""The daily slices table, one partition per day."""
+"""The daily slices table and the event logs, one partition per day."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedlab.functions.clock import PARTITION, day
 from feedlab.sources import schemas
 
-PARTITION = "event_date"
-
 
 def write_slices(slices: DataFrame, path: str) -> None:
     """Replace the days in ``slices``, keep all others: running a day twice changes nothing.
@@ -39,3 +38,13 @@ def write_slices_table(slices: DataFrame, name: str) -> None:
     columns = slices.sparkSession.table(name).columns
     (slices.select(*columns).repartition(PARTITION).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").insertInto(name))
+
+
+def write_log(log: DataFrame, path: str) -> None:
+    """Store a feed or message log by day, replacing the days it holds.
+
+    Day filters of the operators then open the folders of those days only. The
+    rows of a day are written by as many tasks as the input has.
+    """
+    (log.withColumn(PARTITION, day()).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))

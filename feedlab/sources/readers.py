@@ -18,6 +18,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql("SELECT * FROM IDENTIFIER(:name)", args={"name": name})
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log stored by day; ``event_date`` is its folder."""
+    return spark.read.schema(f"{schema}, event_date DATE").parquet(path)
+
+
 def jdbc_options(url: str, query: str, column: str, lower: Any, upper: Any,
                  partitions: int, **options: str) -> dict[str, str]:
     """Options of a parallel read: ``partitions`` ranges of ``column``, read side by side."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlab.operators import anomaly, slices
@@ -34,55 +34,65 @@ def _replace_batch(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def _before(rows: DataFrame, path: str, schema: str, batch: int) -> DataFrame:
-    """What earlier batches wrote to ``path``."""
-    spark = rows.sparkSession
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch=-1")
-    return (spark.read.schema(f"{schema}, batch BIGINT").parquet(path)
-            .filter(F.col("batch") < batch).drop("batch"))
+def _of_batch(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
+    """What one batch wrote; nothing before the first batch."""
+    if batch < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch={batch}")
 
 
-def alert_batches(metrics: list[str], series_path: str, alerts_path: str,
-                  a: float = anomaly.FACTOR, n: int = anomaly.WINDOW) -> Callable[[DataFrame, int], None]:
-    """Bands and flags for newly closed buckets, from them and the last ``n`` known ones.
+def alert_batches(metrics: list[str], path: str, a: float = anomaly.FACTOR,
+                  n: int = anomaly.WINDOW) -> Callable[[DataFrame, int], None]:
+    """Bands and flags for newly closed buckets, from them and the ``n`` before.
 
-    Each metric is its own series here: buckets without events of its log are
-    not in it.
+    Every batch writes its buckets to ``path/series``, its results to
+    ``path/alerts`` and the last ``n`` buckets of each metric to ``path/tail``,
+    which is all the next batch reads. Each metric is its own series here:
+    buckets without events of its log are not in it.
     """
     def each(closed: DataFrame, batch: int) -> None:
+        spark = closed.sparkSession
         fresh = anomaly.long_series(closed, metrics).select("metric", "ts", "value")
-        _replace_batch(fresh, series_path, batch)
-        new = closed.sparkSession.read.schema(SERIES).parquet(f"{series_path}/batch={batch}")
-        newest = Window.partitionBy("metric").orderBy(F.desc("ts"))
-        tail = (_before(closed, series_path, SERIES, batch).filter(F.col("metric").isin(metrics))
-                .withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= n).drop("_n"))
+        _replace_batch(fresh, f"{path}/series", batch)
+        new = _of_batch(spark, f"{path}/series", SERIES, batch)
+        tail = _of_batch(spark, f"{path}/tail", SERIES, batch - 1)
         both = (new.withColumn("is_new", F.lit(True))
                 .unionByName(tail.withColumn("is_new", F.lit(False))))
         rows = anomaly.flagged(anomaly.iqr_bands(both, a, n)).filter("is_new").drop("is_new")
-        _replace_batch(rows, alerts_path, batch)
+        _replace_batch(rows, f"{path}/alerts", batch)
+        newest = Window.partitionBy("metric").orderBy(F.desc("ts"))
+        last = (both.drop("is_new").withColumn("_n", F.row_number().over(newest))
+                .filter(F.col("_n") <= n).drop("_n"))
+        _replace_batch(last, f"{path}/tail", batch)
 
     return each
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """Everything ``alert_batches`` has written."""
+    return spark.read.schema(f"{ALERTS}, batch BIGINT").parquet(f"{path}/alerts")
+
+
 def slice_batches(messages: DataFrame, feed_path: str, path: str) -> Callable[[DataFrame, int], None]:
     """Recompute the daily slices of the days a batch touches and replace them.
 
     The batch is stored first, by day, so a day is sliced from all its rows and
-    only the touched days are read back. ``messages`` is a batch frame.
+    only the folders of touched days are read. ``messages`` is a batch frame.
     """
     def each(feed: DataFrame, batch: int) -> None:
         spark = feed.sparkSession
-        target = f"{feed_path}/batch={batch}"
-        (feed.withColumn("event_date", F.to_date("time")).write.mode("overwrite")
-         .partitionBy("event_date").parquet(target))
-        columns = f"{_ddl(feed)}, event_date DATE"
+        dated = (feed.filter(F.col("time").isNotNull())
+                 .withColumn("event_date", F.to_date("time"))
+                 .withColumn("batch", F.lit(batch).cast("long"))).persist()
         # a list of dates, as long as the batch has days
-        days = [r.event_date for r in
-                spark.read.schema(columns).parquet(target).select("event_date").distinct().collect()]
+        days = [r.event_date for r in dated.select("event_date").distinct().collect()]
+        (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date", "batch").parquet(feed_path))
+        dated.unpersist()
         if not days:
             return
-        stored = (spark.read.schema(f"{columns}, batch BIGINT").parquet(feed_path)
-                  .filter(F.col("event_date").isin(days)))
+        stored = (spark.read.schema(_ddl(dated)).option("basePath", feed_path)
+                  .parquet(*[f"{feed_path}/event_date={d}" for d in days]))
         sent = messages.filter(F.to_date("time").isin(days))
         joined = slices.join_user_day(slices.feed_user_day(stored), slices.message_user_day(sent))
         write_slices(slices.daily_slices(joined), path)
