@@ -248,7 +248,7 @@ def fill(template: str, *values: str) -> str:
     return " || ".join(pieces)
 
 
-TWO_DIGITS = ("CASE WHEN printf('%.2g', ctr) SIMILAR TO '[0-9]+' THEN printf('%.2g', ctr) || '.0' "
+TWO_DIGITS = ("CASE WHEN ctr IS NULL THEN 'nan' WHEN printf('%.2g', ctr) SIMILAR TO '[0-9]+' THEN printf('%.2g', ctr) || '.0' "
               "ELSE printf('%.2g', ctr) END")
 DAILY_TEXT = query(f"""
 SELECT {fill(reports.DAILY_TEXT, 'date', 'dau', 'views', 'likes', TWO_DIGITS)} AS message

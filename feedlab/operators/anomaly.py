@@ -6,7 +6,7 @@ set by the calendar and not by the number of events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from feedlab.functions.ratios import ratio
 
@@ -23,7 +23,7 @@ def long_series(wide: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     return doubles.unpivot("ts", names, "metric", "value")
 
 
-def _ordered() -> Window:
+def _ordered() -> WindowSpec:
     return Window.partitionBy("metric").orderBy("ts")
 
 

@@ -25,7 +25,7 @@ def daily_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row: the message with yesterday's DAU, views, likes and CTR."""
     return activity.daily(feed, as_of).select(F.format_string(
         DAILY_TEXT, F.col("date").cast("string"), "dau", "views", "likes",
-        text.two_significant(F.col("ctr"))).alias("message"))
+        F.coalesce(text.two_significant(F.col("ctr")), F.lit("nan"))).alias("message"))
 
 
 def app_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:

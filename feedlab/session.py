@@ -18,6 +18,8 @@ SETTINGS = {
     # keeps streaming state off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # drop checkpoint files once nothing refers to the frame
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
