@@ -1,12 +1,10 @@
-"""Exact quantiles of columns with any number of distinct values."""
+"""Exact quantiles of columns with any number of rows and distinct values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 10_000   # rank error of the bracket: rows / ACCURACY
-MARGIN = 0.001      # bracket half-width, ten times that error
-SMALL = 10_000      # up to here the bracket is the whole range
+from feedlab.storage import checkpointed
 
 
 def grouped(rows: DataFrame, by: str | None, members: list | None) -> tuple[DataFrame, list[str]]:
@@ -30,51 +28,46 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("_one", one).select(*rows.columns, "_one.*")
 
 
-def brackets(rows: DataFrame, value: str, keys: list[str], probs: list[float]) -> DataFrame:
-    """Count, range and, per probability, a bracket that surely holds the quantile."""
-    ends = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
-    stats = rows.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"),
-        F.percentile_approx(value, ends, ACCURACY).alias("ends"))
-    bounds = F.array(*[
-        F.struct(
-            F.lit(p).alias("prob"),
-            F.when(F.col("n") <= SMALL, F.col("low")).otherwise(F.col("ends")[i].cast("double")).alias("from"),
-            F.when(F.col("n") <= SMALL, F.col("high"))
-             .otherwise(F.col("ends")[i + len(probs)].cast("double")).alias("to"))
-        for i, p in enumerate(probs)])
-    return stats.select(*keys, "n", bounds.alias("brackets"))
+def ranged_counts(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Rows per distinct value, spread over tasks by ranges of the value.
+
+    ``part`` numbers the ranges. The frame is stored, because which value lies
+    in which part is settled only when it is computed.
+    """
+    counts = (rows.filter(F.col(value).isNotNull())
+              .groupBy(*keys, F.col(value).cast("double").alias("x"))
+              .agg(F.count(F.lit(1)).alias("rows")))
+    return checkpointed(counts.repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
 
 
 def exact_quantiles(rows: DataFrame, value: str, probs: list[float], by: str | None = None,
                     members: list | None = None) -> DataFrame:
     """Linearly interpolated quantiles, one row per group and probability.
 
-    First an approximate pass brackets each quantile to about 0.2 % of the rows;
-    then rows below the bracket are counted and only distinct values inside it
-    are ordered. ``rows`` is read twice: pass a checkpointed frame if it is dear.
+    The value ranges are counted first, which tells the range that holds each
+    wanted rank; only those ranges are ordered, one per task. ``rows`` is read
+    once, at the call.
     """
-    rows, keys = grouped(rows.filter(F.col(value).isNotNull()), by, members)
-    x = F.col(value).cast("double")
-    bracketed = (attach(rows.select(*keys, x.alias("x")), brackets(rows, value, keys, probs), keys)
-                 .select(*keys, "n", "x", F.explode("brackets").alias("b"))
-                 .filter(F.col("x") <= F.col("b.to")))
-    inside = F.when(F.col("x") >= F.col("b.from"), F.col("x"))
-    counts = (bracketed.groupBy(*keys, "n", F.col("b.prob").alias("prob"), inside.alias("x"))
-              .agg(F.count(F.lit(1)).alias("rows")))
-    ordered = Window.partitionBy(*keys, "prob").orderBy(F.asc_nulls_first("x"))
-    placed = (counts.withColumn("upto", F.sum("rows").over(ordered))
+    rows, keys = grouped(rows, by, members)
+    counts = ranged_counts(rows, value, keys)
+    # one row per group and part
+    whole = Window.partitionBy(*keys)
+    parts = (counts.groupBy(*keys, "part").agg(F.sum("rows").alias("size"))
+             .withColumn("start", F.sum("size").over(whole.orderBy("part")) - F.col("size"))
+             .withColumn("n", F.sum("size").over(whole)))
+    first, last = F.col("start"), F.col("start") + F.col("size") - 1
+    wanted = (parts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
               .withColumn("rank", F.col("prob") * (F.col("n") - 1))
-              .filter(F.col("x").isNotNull()))
+              .filter(F.floor("rank").between(first, last) | F.ceil("rank").between(first, last)))
+    # at most two parts per group and probability
+    inside = Window.partitionBy(*keys, "prob", "part").orderBy("x")
+    placed = (counts.join(F.broadcast(wanted), [*keys, "part"])
+              .withColumn("upto", F.col("start") + F.sum("rows").over(inside)))
 
     def at(position: Column) -> Column:
         return F.min(F.when(F.col("upto") > position, F.col("x")))
 
-    picked = placed.groupBy(*keys, "prob", "rank").agg(
-        at(F.floor("rank")).alias("lower"), at(F.ceil("rank")).alias("upper"),
-        (F.min(F.col("upto") - F.col("rows")) <= F.floor("rank")).alias("covered"))
-    sure = F.when(F.col("covered") & F.col("upper").isNotNull(), F.col("lower")).otherwise(
-        F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    ends = placed.groupBy(*keys, "prob", "rank").agg(
+        at(F.floor("rank")).alias("lower"), at(F.ceil("rank")).alias("upper"))
     step = (F.col("upper") - F.col("lower")) * (F.col("rank") - F.floor("rank"))
-    return picked.select(*keys, "prob", (sure + step).alias("quantile"))
+    return ends.select(*keys, "prob", (F.col("lower") + step).alias("quantile"))
