@@ -457,6 +457,7 @@ ORACLE: dict[str, str] = {
     "partitioned_log": daily(7),
     "sql_user_ctr": query(f"SELECT exp_group, user_id, likes, views, {six('ctr')} AS ctr FROM users", AB_USERS),
     "daily_slices_sink": SLICES,
+    "daily_slices_table": SLICES,
     "audience_csv": AUDIENCE,
     "daily_metrics": daily(1),
     "weekly_metrics": daily(7),

@@ -111,6 +111,17 @@ def daily_slices_sink(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_slices(spark, path)
 
 
+def daily_slices_table(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "daily_slices_table")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_slices_table(spark, name, path)
+    joined = daily_load.joined_day(_feed(spark, folder), _messages(spark, folder))
+    tables.write_slices_table(slices.daily_slices(joined), name)
+    stored = spark.table(name)
+    spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})  # its files stay
+    return stored
+
+
 def audience_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "audience_csv")
     reports.audience_csv(_feed(spark, folder), path, p.AUDIENCE)
@@ -158,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "partitioned_log": partitioned_log,
     "sql_user_ctr": sql_user_ctr,
     "daily_slices_sink": daily_slices_sink,
+    "daily_slices_table": daily_slices_table,
     "audience_csv": audience_csv,
     # daily metrics
     "daily_metrics": _on_feed(lambda feed: activity.daily(feed, p.AS_OF)),

@@ -57,13 +57,16 @@ def ctr_daily(feed: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame
 
 
 def dau_by_source(feed: DataFrame, as_of: dt.date | str, days: int = 14) -> DataFrame:
-    """DAU per acquisition source, from ``days`` days ago up to the running day."""
+    """DAU per acquisition source, from ``days`` days ago up to the running day.
+
+    One column per source, aligned by date; a source without users that day is 0.
+    """
     sources = ["organic", "ads"]  # fixed values
     last = clock.as_date(as_of)
-    wide = (clock.on_days(feed, clock.days_before(last, days), last)
-            .groupBy(day().alias("date")).pivot("source", sources)
-            .agg(F.count_distinct("user_id")))
-    return wide.na.fill(0, sources)
+    users = (clock.on_days(feed, clock.days_before(last, days), last)
+             .select(day().alias("date"), "source", "user_id").distinct())
+    return users.groupBy("date").agg(
+        *[F.count(F.when(F.col("source") == s, F.col("user_id"))).alias(s) for s in sources])
 
 
 def views_per_user(feed: DataFrame, as_of: dt.date | str, days: int = 14,

@@ -24,6 +24,23 @@ SETTINGS = {
 }
 
 
+MB = 1024 * 1024
+
+
+def sized(cores: int, shuffled_bytes: int) -> dict[str, str]:
+    """Settings for a cluster and the bytes the largest shuffle moves.
+
+    Starts from partitions that fit a task's memory, at least three waves of
+    tasks, and lets AQE merge the small ones.
+    """
+    partitions = max(3 * cores, shuffled_bytes // (128 * MB))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{128 * MB}",
+        "spark.sql.files.maxPartitionBytes": f"{256 * MB}",
+    }
+
+
 def build(app: str = "feedlab", master: str | None = None, **extra: str) -> SparkSession:
     """Create a session with the settings above; ``extra`` overrides them."""
     builder = SparkSession.builder.appName(app)
