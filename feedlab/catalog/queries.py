@@ -117,9 +117,7 @@ def daily_slices_table(spark: SparkSession, folder: str) -> DataFrame:
     tables.create_slices_table(spark, name, path)
     joined = daily_load.joined_day(_feed(spark, folder), _messages(spark, folder))
     tables.write_slices_table(slices.daily_slices(joined), name)
-    stored = spark.table(name)
-    spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})  # its files stay
-    return stored
+    return spark.table(name)
 
 
 def audience_csv(spark: SparkSession, folder: str) -> DataFrame:
