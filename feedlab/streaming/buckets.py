@@ -14,27 +14,41 @@ from feedlab.functions.ratios import count_action, ratio
 DELAY = "30 minutes"
 
 
-def _per_user(stream: DataFrame, delay: str, *aggregates: Column) -> DataFrame:
-    timed = stream.withColumn("time", F.col("time").cast("timestamp"))
-    return (timed.withWatermark("time", delay)
-            .groupBy(F.window("time", QUARTER_HOUR), "user_id").agg(*aggregates))
+def _timed(stream: DataFrame, delay: str) -> DataFrame:
+    return stream.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", delay)
 
 
-def _per_bucket(users: DataFrame, *aggregates: Column) -> DataFrame:
-    # a second stateful count over closed user rows: exact distinct users
-    closed = users.withColumn("at", F.window_time("window"))
-    return (closed.groupBy(F.window("at", QUARTER_HOUR).alias("bucket")).agg(*aggregates)
-            .withColumn("ts", F.col("bucket.start").cast("timestamp_ntz")).drop("bucket"))
+def _started(buckets: DataFrame) -> DataFrame:
+    return buckets.withColumn("ts", F.col("bucket.start").cast("timestamp_ntz")).drop("bucket")
 
 
-def feed_buckets(feed: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Users, views, likes and CTR of every bucket the watermark has closed."""
-    users = _per_user(feed, delay, count_action("view").alias("views"), count_action("like").alias("likes"))
-    return _per_bucket(users, F.count("user_id").alias("users_feed"), F.sum("views").alias("views"),
-                       F.sum("likes").alias("likes")).withColumn("ctr", ratio("likes", "views"))
+def _exact(stream: DataFrame, delay: str, users: str, counts: dict[str, Column]) -> DataFrame:
+    """Counts per user and bucket, then a second stateful count over the closed user rows."""
+    per_user = (_timed(stream, delay).groupBy(F.window("time", QUARTER_HOUR), "user_id")
+                .agg(*[c.alias(name) for name, c in counts.items()]))
+    closed = per_user.withColumn("at", F.window_time("window"))
+    return _started(closed.groupBy(F.window("at", QUARTER_HOUR).alias("bucket"))
+                    .agg(F.count("user_id").alias(users), *[F.sum(name).alias(name) for name in counts]))
 
 
-def message_buckets(messages: DataFrame, delay: str = DELAY) -> DataFrame:
+def _approximate(stream: DataFrame, delay: str, users: str, counts: dict[str, Column]) -> DataFrame:
+    """One row of state per bucket: a sketch of its users."""
+    return _started(_timed(stream, delay).groupBy(F.window("time", QUARTER_HOUR).alias("bucket"))
+                    .agg(F.approx_count_distinct("user_id").alias(users),
+                         *[c.alias(name) for name, c in counts.items()]))
+
+
+def feed_buckets(feed: DataFrame, delay: str = DELAY, approximate: bool = False) -> DataFrame:
+    """Users, views, likes and CTR of every bucket the watermark has closed.
+
+    ``approximate`` keeps a sketch per bucket instead of a row per bucket and user.
+    """
+    count = _approximate if approximate else _exact
+    buckets = count(feed, delay, "users_feed", {"views": count_action("view"), "likes": count_action("like")})
+    return buckets.withColumn("ctr", ratio("likes", "views"))
+
+
+def message_buckets(messages: DataFrame, delay: str = DELAY, approximate: bool = False) -> DataFrame:
     """Senders and messages of every bucket the watermark has closed."""
-    users = _per_user(messages, delay, F.count("user_id").alias("sent"))
-    return _per_bucket(users, F.count("user_id").alias("users_message"), F.sum("sent").alias("sent_message"))
+    count = _approximate if approximate else _exact
+    return count(messages, delay, "users_message", {"sent_message": F.count("user_id")})
