@@ -196,7 +196,8 @@ FROM feed_15 FULL JOIN message_15 USING (ts))"""]
 
 CLOSED = "time >= TIMESTAMP '2024-01-20 00:00:00' AND time < TIMESTAMP '2024-01-21 12:00:00'"
 METRICS_15 = f"""
-SELECT ts, date, hm, users_feed, views, likes, {six('ctr')} AS ctr, users_message, sent_message FROM both_15"""
+SELECT ts, CAST(date AS VARCHAR) AS date, hm, {six('ctr')} AS ctr, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (
+    "users_feed", "views", "likes", "users_message", "sent_message"))} FROM both_15"""
 
 SERIES = "series AS (" + " UNION ALL ".join(
     f"SELECT ts, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM both_15" for m in METRICS) + ")"

@@ -34,6 +34,13 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
+def plain_buckets(df: DataFrame) -> DataFrame:
+    """Outer-joined buckets for comparison: counts as doubles, the form data frames hold gaps in, and ISO dates."""
+    counts = {"users_feed", "views", "likes", "users_message", "sent_message"}
+    return (df.select(*[F.col(c).cast("double").alias(c) if c in counts else F.col(c) for c in df.columns])
+            .withColumn("date", F.col("date").cast("string")))
+
+
 def _on_feed(make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(make(_feed(spark, folder)))
 
@@ -205,9 +212,9 @@ QUERIES: dict[str, Query] = {
     "retention_day1": _on_feed(lambda feed: cohorts.retention_day1(feed, p.RETENTION_AS_OF)),
     "retention_curve": _on_feed(lambda feed: cohorts.retention_curve(feed, p.CURVE_AS_OF, p.CURVE_AGE)),
     # 15-minute metrics and alerts
-    "metrics_15min": _on_both(activity.metrics_15min),
+    "metrics_15min": _on_both(lambda feed, messages: plain_buckets(activity.metrics_15min(feed, messages))),
     "metrics_15min_closed": _on_both(
-        lambda feed, messages: activity.metrics_15min(feed, messages, p.ALERT_AS_OF)),
+        lambda feed, messages: plain_buckets(activity.metrics_15min(feed, messages, p.ALERT_AS_OF))),
     "iqr_bands": _on_both(
         lambda feed, messages: anomaly.iqr_bands(anomaly.long_series(activity.metrics_15min(feed, messages)))),
     "iqr_bands_smoothed": _on_both(
