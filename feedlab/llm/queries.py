@@ -6,19 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import quality
+from feedlab.llm import chat, lines, oracle, quality, token_files
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.deduplicate(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(rows.unionByName(chat.probe(spark))))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.digests(spark, table(spark, folder, "documents"),
+                               public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op6_chat": op6_chat,
     "op9_quality": op9_quality,
+    "op10_token_files": op10_token_files,
 }
 
 #: SQL of the queries that SQL can express; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": oracle.LINE_DEDUP,
+}
