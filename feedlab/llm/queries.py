@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import chat, lines, oracle, quality, token_files
+from feedlab.llm import chat, lines, oracle, quality, simhash, token_files
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(chat.probe(spark))))
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -35,6 +39,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op6_chat": op6_chat,
+    "op7_simhash": op7_simhash,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
 }
