@@ -6,11 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that vectorised steps take at once, so that their arrays stay small.
 SLICE_BYTES = 2 << 20
 
+#: Stands for a null id where ids are keys.
+LOWEST = -(1 << 63)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -21,6 +25,12 @@ def partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def document_key() -> tuple[Column, Column]:
+    """_id, _hash: a row's place in the order of documents, its doc_id (null first), then a hash of its text."""
+    return (F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_id"),
+            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_hash"))
+
+
 def plain(array: pa.Array) -> pa.Array:
     """A string array without nulls, in the small-offset layout, starting at its first value."""
     array = array.cast(pa.string()).fill_null("")
@@ -41,7 +51,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
     if not batch.num_rows:
         return
     texts = batch.column(batch.schema.get_field_index(column))
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
     owner = (np.cumsum(lengths) - lengths) // size
     cuts = np.flatnonzero(np.diff(owner)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):

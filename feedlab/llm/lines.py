@@ -4,21 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-WINDOW = 3
+from feedlab.llm.common import document_key
 
-LOWEST = -(1 << 63)
+WINDOW = 3
 
 
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
 
 
-def _document(docs: DataFrame) -> tuple[Column, Column]:
-    """The place of a row in the order of documents: its id (null first), then a hash of its text."""
-    return (F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_id"),
-            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_hash"))
-
-
 def windows(docs: DataFrame) -> DataFrame:
     """_id, _hash, at, h1, h2 of every three consecutive lines; h1 and h2 are 128 bits of the three.
 
@@ -28,7 +22,7 @@ def windows(docs: DataFrame) -> DataFrame:
         own = [F.get("lines", at + k) for k in range(WINDOW)]
         return F.struct(at.alias("at"), F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit(1), *own[::-1]).alias("h2"))
 
-    split = docs.select(*_document(docs), _lines("text").alias("lines")).filter(F.size("lines") >= WINDOW)
+    split = docs.select(*document_key(), _lines("text").alias("lines")).filter(F.size("lines") >= WINDOW)
     places = F.sequence(F.lit(0), F.size("lines") - WINDOW)
     return split.select("_id", "_hash", F.explode(F.transform(places, hashed)).alias("w")).select(
         "_id", "_hash", "w.at", "w.h1", "w.h2")
@@ -66,7 +60,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     A hot passage costs one row per task before the shuffle (its first occurrence is a map-side minimum), and
     the join back to all occurrences is one that Spark may split. What a document gathers is bounded by its lines.
     """
-    rows = docs.drop("n_lines", "n_removed").select("*", *_document(docs))
+    rows = docs.drop("n_lines", "n_removed").select("*", *document_key())
     lines = _lines("text")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
     text = F.when(F.col("drop").isNull(), F.array_join(lines, "\n")).otherwise(

@@ -16,3 +16,19 @@ SELECT l.doc_id, len(l.lines)::BIGINT AS n_lines, count(gone.place)::BIGINT AS n
        coalesce(any_value(rest.text), '') AS text
 FROM l LEFT JOIN gone USING (doc_id) LEFT JOIN rest USING (doc_id) GROUP BY l.doc_id, l.lines
 """
+
+DECONTAMINATION = """
+WITH t AS (SELECT 'd' AS side, doc_id AS id, regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)),
+                  '[ \\t\\n\\r]+') AS w FROM documents
+           UNION ALL
+           SELECT 'b', item_id, regexp_split_to_array(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)),
+                  '[ \\t\\n\\r]+') FROM benchmark),
+g AS (SELECT DISTINCT side, id, array_to_string(w[pos:pos + 4], ' ') AS shingle
+      FROM (SELECT side, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos FROM t)
+      WHERE array_to_string(w, ' ') <> ''),
+n AS (SELECT id, count(*) AS n FROM g WHERE side = 'b' GROUP BY id),
+m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared
+      FROM g d JOIN g b ON d.shingle = b.shingle AND d.side = 'd' AND b.side = 'b' GROUP BY d.id, b.id)
+SELECT doc_id, item_id, n::BIGINT AS n_shingles, shared::BIGINT AS n_shared, round(shared / n, 6) AS containment
+FROM m JOIN n ON n.id = item_id WHERE shared >= 0.8 * n
+"""

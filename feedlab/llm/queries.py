@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import chat, lines, oracle, quality, simhash, token_files
+from feedlab.llm import chat, decontamination, lines, minhash, oracle, pieces, quality, simhash, token_files
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.deduplicate(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.compare_with_edit(table(spark, folder, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_conversations(rows.unionByName(chat.probe(spark))))
@@ -25,6 +33,13 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.decode(pieces.encode(table(spark, folder, "documents"), vocabulary), vocabulary)
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -38,8 +53,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_minhash": op4_minhash,
+    "op5_decontamination": op5_decontamination,
     "op6_chat": op6_chat,
     "op7_simhash": op7_simhash,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
 }
@@ -47,4 +65,5 @@ QUERIES: dict[str, Query] = {
 #: SQL of the queries that SQL can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_line_dedup": oracle.LINE_DEDUP,
+    "op5_decontamination": oracle.DECONTAMINATION,
 }

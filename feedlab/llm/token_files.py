@@ -11,16 +11,19 @@ n document ids (int64), n flags (uint8, 0 for a null document id), n lengths (ui
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import regex
 import xxhash
 import zlib
 import zstandard
@@ -38,24 +41,63 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 #: Ids after which a frame is closed; a longer document has a frame of its own.
 FRAME_IDS = 1 << 18
 
-#: Words whose ids a worker remembers between slices of text.
-REMEMBERED = 200_000
+#: Words whose ids a worker remembers.
+REMEMBERED = 600_000
+
+#: Signs that stand behind words and are one part of the split with each other.
+STOPS = ".,;:!?*#$%&"
 
 MANIFEST = "part int, path string, first_doc long, last_doc long, docs long, ids long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes for letters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once per slice.
 
     The vocabulary's normaliser and splitter never look across white space, so a text's ids are the ids
-    of its words in order.
+    of its words in order. Words of plain Latin letters are split by the vocabulary's own pattern and their
+    parts, which recur more, go to the library's merges; any other word goes through the whole library.
     """
 
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, list[int]] = {}
+        made = json.loads(definition)
+        steps = [x.get("type") for x in made["normalizer"]["normalizers"]] if made.get("normalizer") else []
+        first = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.split = None
+        if steps == ["NFC", "Replace", "Lowercase"] and first.get("type") == "Split" and first.get("invert"):
+            self.split = regex.compile(first["pattern"]["Regex"])
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, list[int]] = {}
+
+    def part(self, text: str) -> list[int]:
+        own = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        ids = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(own)]
+        return ids
+
+    def word(self, text: str) -> list[int]:
+        head = text.rstrip(STOPS)
+        if self.split and head.isascii() and head.isalpha():  # a word and the signs behind it
+            tail, head = text[len(head):], head.lower()
+            ids = self.parts.get(head) or self.part(head)
+            return ids + (self.parts.get(tail) or self.part(tail)) if tail else ids
+        # Below U+0130 no letter is composed or has a lower case that depends on its neighbours.
+        if self.split is None or not (text.isascii() or max(text) < "\u0130") or "<|" in text or not text.isprintable():
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = []
+        for p in self.split.findall(text.lower()):
+            ids += self.parts.get(p) or self.part(p)
+        return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many belong to each text."""
@@ -65,12 +107,13 @@ class WordEncoder:
         names = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [w for w in names if w not in self.known]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in found)))
+            self.parts.clear()
+        for w in names:
+            if w not in self.known:
+                self.known[w] = array("I", self.word(w)).tobytes()
         lists = [self.known[w] for w in names]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.uint32)
         first = np.cumsum(lengths) - lengths
         size = lengths[codes]
         end = np.cumsum(size)
@@ -79,6 +122,17 @@ class WordEncoder:
         return ids, np.diff(bounds)
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(definition: str) -> WordEncoder:
+    """The encoder of this worker, kept for the tasks to come."""
+    if definition not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[definition] = WordEncoder(definition)
+    return _ENCODERS[definition]
+
+
 class FrameWriter:
     """Writes one file, frame by frame; memory holds one frame and a few numbers for each frame."""
 
@@ -186,7 +240,7 @@ def write(docs: DataFrame, definition: str, end_id: int, folder: str | None = No
             for piece in slices(batch):
                 if out is None:
                     path = f"{folder}/{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}.ids.zst"
-                    encoder, out = WordEncoder(shared.value), FrameWriter(_open_file(path, write=True))
+                    encoder, out = encoder_of(shared.value), FrameWriter(_open_file(path, write=True))
                 ids, sizes = encoder.encode(plain(piece.column(1)))
                 at = 0
                 for doc, size in zip(piece.column(0).to_pylist(), sizes.tolist()):
