@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from feedlab.storage import fresh_path
+
 #: Bytes of text that vectorised steps take at once, so that their arrays stay small.
 SLICE_BYTES = 2 << 20
 
@@ -16,6 +18,13 @@ SLICE_BYTES = 2 << 20
 LOWEST = -(1 << 63)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder once, and read from there."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -31,6 +40,24 @@ def document_key() -> tuple[Column, Column]:
             F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_hash"))
 
 
+def range_bounds(ids: DataFrame, count: int) -> list[int]:
+    """Bounds that cut the ids into about ``count`` ranges: at most so many numbers, whatever the corpus."""
+    shares = [k / count for k in range(1, count)]
+    found = ids.agg(F.percentile_approx("_id", shares, 10_000).alias("b")).first()["b"] if shares else []
+    return sorted(set(found or []))
+
+
+def range_of(bounds: list[int]) -> Column:
+    """How many bounds are at or below the id, found by halving the list."""
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col("_id") < bounds[middle], pick(low, middle)).otherwise(pick(middle + 1, high))
+
+    return pick(0, len(bounds))
+
+
 def plain(array: pa.Array) -> pa.Array:
     """A string array without nulls, in the small-offset layout, starting at its first value."""
     array = array.cast(pa.string()).fill_null("")

@@ -14,7 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedlab.llm.common import document_key, partitions
+from feedlab.llm.bytesums import ByteSums, mixed
+from feedlab.llm.common import document_key, partitions, range_bounds, range_of
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -25,40 +26,13 @@ BANDS, ROWS = 32, 4
 #: Shingles whose values under all permutations are held together.
 STEP = 1024
 
-_SEED = np.random.default_rng(20240101)
-_BYTES = _SEED.integers(1, 1 << 63, 256, np.uint64)
+_SEED = np.random.default_rng(20240102)
 _A = _SEED.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
 _PLACE = _SEED.integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0x5851F42D4C957F2D
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2^64, as many as were asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            self.up, self.down = (np.full(1 << n.bit_length(), base, np.uint64) for base in (_BASE, _BASE_INVERSE))
-            self.up[0] = self.down[0] = 1
-            np.cumprod(self.up, out=self.up)
-            np.cumprod(self.down, out=self.down)
-        return self.up, self.down
-
-
-_POWERS = _Powers()
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """Hashes of every ``words`` words in a row of the text, A-Z as a-z; of all words if there are fewer."""
     data = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
@@ -66,14 +40,12 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _POWERS.of(len(data) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:len(data)], dtype=np.uint64)])
-    word = _mixed((total[ends] - total[starts]) * down[starts])
+    word = ByteSums(data).ranges(starts, ends)
     size = min(words, len(word))
     joined = np.zeros(len(word) - size + 1, np.uint64)
     for k in range(size):
         joined += word[k:len(word) - size + 1 + k] * _PLACE[k]
-    return _mixed(joined + np.uint64(size))
+    return mixed(joined + np.uint64(size))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -85,7 +57,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
         values = np.multiply.outer(_A, hashes[at:at + STEP])
         values += _B[:, None]
         np.minimum(least, values.min(axis=1), out=least)
-    return (_mixed(least) >> np.uint64(48)).astype(np.uint16)
+    return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -98,24 +70,6 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - half] + after[:half]
 
 
-def _ranges(ids: DataFrame, count: int) -> list[int]:
-    """Bounds that cut the ids into about ``count`` ranges: at most so many numbers, whatever the corpus."""
-    shares = [k / count for k in range(1, count)]
-    found = ids.agg(F.percentile_approx("_id", shares, 10_000).alias("b")).first()["b"] if shares else []
-    return sorted(set(found or []))
-
-
-def _range_of(bounds: list[int]) -> Column:
-    """How many bounds are at or below the id, found by halving the list."""
-    def pick(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("_id") < bounds[middle], pick(low, middle)).otherwise(pick(middle + 1, high))
-
-    return pick(0, len(bounds))
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """The rows in ranges of ascending doc_id: _range, _guest, _id, doc_id, text.
 
@@ -127,7 +81,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(document_key()[0], F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = rows.select("_id")
-    placed = _range_of(_ranges(ids, 2 * partitions(spark)))
+    placed = range_of(range_bounds(ids, 2 * partitions(spark)))
     heads = ids.groupBy(placed.alias("_range")).agg(F.min("_id").alias("_id"))
     order = Window.orderBy("_range")  # one row for each range
     to = F.coalesce(F.lag("_range").over(order), F.max("_range").over(Window.partitionBy(F.lit(0))))

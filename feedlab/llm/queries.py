@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import chat, decontamination, lines, minhash, oracle, pieces, quality, simhash, token_files
+from feedlab.llm import chat, decontamination, lines, minhash, oracle, personal, pieces, quality, repeats, simhash, token_files
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.deduplicate(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.find(table(spark, folder, "documents"))
+
+
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.compare_with_edit(table(spark, folder, "documents"))
 
@@ -52,7 +60,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_repeats": op1_repeats,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op4_minhash": op4_minhash,
     "op5_decontamination": op5_decontamination,
     "op6_chat": op6_chat,
