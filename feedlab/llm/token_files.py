@@ -42,7 +42,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 FRAME_IDS = 1 << 18
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 #: Signs that stand behind words and are one part of the split with each other.
 STOPS = ".,;:!?*#$%&"
@@ -78,48 +78,62 @@ class WordEncoder:
             self.split = regex.compile(first["pattern"]["Regex"])
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.before: dict[str, bytes] = {}
 
     def part(self, text: str) -> list[int]:
         own = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-        ids = self.parts[text] = [t.id for t in self.tokenizer.model.tokenize(own)]
-        return ids
+        return [t.id for t in self.tokenizer.model.tokenize(own)]
 
     def word(self, text: str) -> list[int]:
-        head = text.rstrip(STOPS)
-        if self.split and head.isascii() and head.isalpha():  # a word and the signs behind it
-            tail, head = text[len(head):], head.lower()
-            ids = self.parts.get(head) or self.part(head)
-            return ids + (self.parts.get(tail) or self.part(tail)) if tail else ids
+        if not text:
+            return []
+        if self.split and text.isascii() and text.isalpha():
+            return self.part(text.lower())
         # Below U+0130 no letter is composed or has a lower case that depends on its neighbours.
         if self.split is None or not (text.isascii() or max(text) < "\u0130") or "<|" in text or not text.isprintable():
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids = []
-        for p in self.split.findall(text.lower()):
-            ids += self.parts.get(p) or self.part(p)
-        return ids
+        return [i for p in self.split.findall(text.lower()) for i in self.part(p)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and how many belong to each text."""
+        """All ids in order, and how many belong to each text.
+
+        Plain words are looked up without their case and apart from the signs behind them.
+        """
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
-        codes = np.asarray(coded.indices, np.int64)
-        names = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.parts.clear()
-        for w in names:
-            if w not in self.known:
-                self.known[w] = array("I", self.word(w)).tobytes()
-        lists = [self.known[w] for w in names]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-        flat = np.frombuffer(b"".join(lists), np.uint32)
+        names, codes = coded.dictionary, np.asarray(coded.indices, np.int64)
+        if self.split:
+            heads = pc.ascii_rtrim(names, STOPS)
+            whole = pc.invert(pc.ascii_is_alpha(heads))
+            head = pc.if_else(whole, names, pc.ascii_lower(heads))
+            size = pc.if_else(whole, 0, pc.subtract(pc.binary_length(names), pc.binary_length(heads)))
+            tail = pa.array([n[-k:] if k else "" for n, k in zip(names.to_pylist(), size.to_pylist())], pa.string())
+            parts = pa.concat_arrays([head, tail]).dictionary_encode()
+        else:
+            parts = pa.concat_arrays([names, pa.array([""] * len(names), pa.string())]).dictionary_encode()
+        ids = self.look_up(parts.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        pair = np.asarray(parts.indices, np.int64).reshape(2, -1)[:, codes].T.ravel()  # head, tail, head, tail ...
         first = np.cumsum(lengths) - lengths
-        size = lengths[codes]
+        size = lengths[pair]
         end = np.cumsum(size)
-        ids = flat[np.repeat(first[codes] - (end - size), size) + np.arange(int(size.sum()))]
-        bounds = np.concatenate([[0], end])[np.asarray(words.offsets, np.int64)]
-        return ids, np.diff(bounds)
+        found = flat[np.repeat(first[pair] - (end - size), size) + np.arange(int(size.sum()))]
+        bounds = np.concatenate([[0], end])[2 * np.asarray(words.offsets, np.int64)]
+        return found, np.diff(bounds)
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as bytes, kept for later; of what was not asked for lately only half is forgotten."""
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        found = []
+        for w in words:
+            ids = self.known.get(w)
+            if ids is None:
+                ids = self.before.get(w)
+                self.known[w] = ids = array("I", self.word(w)).tobytes() if ids is None else ids
+            found.append(ids)
+        return found
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -237,7 +251,7 @@ def write(docs: DataFrame, definition: str, end_id: int, folder: str | None = No
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out, first, last, rows, total = None, None, None, None, 0, 0
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=4 << 20):
                 if out is None:
                     path = f"{folder}/{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}.ids.zst"
                     encoder, out = encoder_of(shared.value), FrameWriter(_open_file(path, write=True))
