@@ -29,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Spark cut what it sends to Python by bytes too, not by rows alone: texts differ much in length."""
+    for name, most in (("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20),
+                       ("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)):
+        spark.conf.set(name, str(most))
+
+
 def partitions(spark: SparkSession) -> int:
     """Partition count of a shuffle, at least one for each core."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedlab.llm.bytesums import ByteSums, mixed
-from feedlab.llm.common import document_key, partitions, range_bounds, range_of
+from feedlab.llm.common import bounded_batches, document_key, partitions, range_bounds, range_of
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -98,6 +98,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
     first; a lone row is its own next. Null texts are empty; texts without words have the same
     fingerprint, all ones; repeated rows follow each other; further columns are ignored; no rows, no rows.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

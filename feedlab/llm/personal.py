@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from feedlab.llm.common import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 
 LONGEST = 5  # words of a segment
@@ -301,6 +303,7 @@ def find(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    bounded_batches(docs.sparkSession)
     field = fit(rows)
     shared = docs.sparkSession.sparkContext.broadcast(field)  # weights of at most the sample's features
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from feedlab.llm.common import plain, slices
+from feedlab.llm.common import bounded_batches, plain, slices
 
 SPACE = "\u2581"
 
@@ -171,6 +171,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     texts have no ids; repeated rows and null ids are rows like others; further columns are ignored; no
     rows, no rows. Each row is encoded by itself, nothing is shuffled.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # of the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from feedlab.llm.common import bounded_batches
+
 #: Names of the statistics, in the order of the vector.
 STATISTICS = ["chars", "words", "word_length", "upper", "digits", "symbols", "stops", "space", "newlines",
               "beyond_ascii", "distinct_words", "repeated_next", "distinct_pairs", "distinct_lines", "entropy"]
@@ -143,6 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, pooling: float = 0.3, ridge: float =
     reach the driver. Other labels, null labels and labels without a document are left out; a repeated
     label counts as often as it stands there.
     """
+    bounded_batches(docs.sparkSession)
     wanted = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & ~held_out("id"))
     known = docs.select(F.col("doc_id").alias("id"), statistics_column("text").alias("x"))

@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+    return repeats.remove_repeats(table(spark, folder, "documents"), keep=False)
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from feedlab.llm.bytesums import ByteSums, mixed
-from feedlab.llm.common import LOWEST, partitions, stored, utf8
+from feedlab.llm.common import LOWEST, bounded_batches, partitions, stored, utf8
 
 LENGTH, GRAM = 200, 64
 
@@ -30,7 +31,7 @@ LENGTH, GRAM = 200, 64
 HELD = 40_000
 
 #: Starts of strings looked at together.
-STEP = 1 << 19
+STEP = 1 << 18
 
 _ROWS = "part long, g long, c long, _id long, _v int, pos int, before int, after int, dup boolean, cover boolean"
 _NAMES = [x.split()[0] for x in _ROWS.split(", ")]
@@ -298,32 +299,42 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.column_stack([spans[first, 0], reach[np.append(first[1:], len(spans)) - 1]])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every row of ``docs``.
+def _spans_of(column: pa.ListArray) -> list[np.ndarray]:
+    """Rows of start and end for each document; none for a null."""
+    fields = column.flatten()
+    both = np.column_stack([np.asarray(fields.field(0), np.int64), np.asarray(fields.field(1), np.int64)])
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0), np.int64)
+    return np.split(both, np.cumsum(sizes)[:-1])
+
+
+def remove_repeats(docs: DataFrame, keep: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept (the remaining bytes) of every row.
 
     A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else, in the same or another
     document, on the text as it came. Null texts are empty; shorter texts stay whole; repeated rows are documents
     of their own, so they cover each other; null ids are ids like others; further columns are ignored; no rows,
     no rows.
     """
+    bounded_batches(docs.sparkSession)
     keyed = _keyed(docs)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep
+    kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()][:len(names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             rows = []
-            for doc, text, spans in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2)):
-                data = text.encode("utf-8")
-                runs = merged(np.array([(s["start"], s["end"]) for s in spans.as_py() or ()], np.int64).reshape(-1, 2))
-                kept, at = [], 0
+            for doc, text, spans in zip(batch.column(0), batch.column(1), _spans_of(batch.column(2))):
+                data, runs, at, parts = text.as_py().encode("utf-8"), merged(spans), 0, []
                 for start, end in runs.tolist():
-                    kept.append(data[at:start])
+                    parts.append(data[at:start])
                     at = end
-                left = b"".join([*kept, data[at:]])
-                rows.append((doc, len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left))
-            columns = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                left = b"".join([*parts, data[at:]])
+                rows.append((doc.as_py(), len(data), len(data) - len(left), len(runs),
+                             hashlib.sha256(left).hexdigest(), left)[:len(names)])
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(zip(*rows), kinds)], names)
 
     return (keyed.join(covered(keyed), ["_id", "_v"], "left").select("doc_id", "text", "spans")
-            .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+            .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+                             + ", kept binary" * keep))

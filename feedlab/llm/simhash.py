@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
-from feedlab.llm.common import partitions
+from feedlab.llm.common import bounded_batches, partitions
 from feedlab.storage import checkpointed
 
 #: Fingerprints in a tree at most, and queries that search it together.
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             found = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, "doc_id long, fp long")
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from feedlab.llm.common import partitions, plain, slices
+from feedlab.llm.common import bounded_batches, partitions, plain, slices
 from feedlab.storage import checkpointed, fresh_path
 
 # Fixed values of the public formats.
@@ -244,6 +244,7 @@ def write(docs: DataFrame, definition: str, end_id: int, folder: str | None = No
     stored manifest names only files of tasks that ended. A null text has only ``end_id``; null ids come
     first; rows that share an id are ordered by text; further columns are ignored; no rows, no files.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder = _uri(folder or fresh_path(spark, "tokens"))
     shared = spark.sparkContext.broadcast(definition)  # one vocabulary file, whatever the corpus
