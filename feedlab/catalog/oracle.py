@@ -11,8 +11,17 @@ import math
 import numpy as np
 
 from feedlab.catalog import parameters as p
-from feedlab.operators.anomaly import METRICS
-from feedlab.plans import reports
+
+# Fixed values, written out here so that a slip in the library shows.
+METRICS = ["users_feed", "users_message", "views", "likes", "ctr"]
+DAILY_MESSAGE = "Ключевые метрики за вчерашний день %s \nDAU %d\nПросмотры %d\nЛайки %d\nCTR %s"
+APP_MESSAGE = ("Доброе утро,чат! Основные показатели приложения представлены в отчёте. \n"
+               "Вчера к нам пришло %d новых юзеров\n"
+               "Retention первого дня вчера составил %s%%\n"
+               "Основную информацию об аудитории см. в прикреплённом файле.\n"
+               "Хорошего рабочего дня!")
+ALERT_MESSAGE = ("ALERT❗️Метрика %s:\n   - текущее значение %s;\n"
+                 "   - отклонение от предыдущего значения %s%%")
 
 COUNTERS = ["views", "likes", "messages_sent", "messages_received", "users_sent", "users_received"]
 
@@ -86,7 +95,8 @@ WHERE {DATE} < DATE '{p.AS_OF}' AND {DATE} >= DATE '{p.AS_OF}' - 7 GROUP BY 1"""
 BY_SOURCE = f"""
 SELECT {DATE} AS date,
        count(DISTINCT CASE WHEN source = 'organic' THEN user_id END) AS organic,
-       count(DISTINCT CASE WHEN source = 'ads' THEN user_id END) AS ads
+       count(DISTINCT CASE WHEN source = 'ads' THEN user_id END) AS ads,
+       count(DISTINCT CASE WHEN source IS NULL OR source NOT IN ('organic', 'ads') THEN user_id END) AS other
 FROM feed WHERE {DATE} >= DATE '{p.AS_OF}' - 14 AND {DATE} <= DATE '{p.AS_OF}' GROUP BY 1"""
 
 VIEWS_PER_USER = f"""
@@ -252,24 +262,24 @@ def fill(template: str, *values: str) -> str:
 TWO_DIGITS = ("CASE WHEN ctr IS NULL THEN 'nan' WHEN printf('%.2g', ctr) SIMILAR TO '[0-9]+' THEN printf('%.2g', ctr) || '.0' "
               "ELSE printf('%.2g', ctr) END")
 DAILY_TEXT = query(f"""
-SELECT {fill(reports.DAILY_TEXT, 'date', 'dau', 'views', 'likes', TWO_DIGITS)} AS message
+SELECT {fill(DAILY_MESSAGE, 'date', 'dau', 'views', 'likes', TWO_DIGITS)} AS message
 FROM (SELECT {DATE} AS date, count(DISTINCT user_id) AS dau, {VIEWS} AS views, {LIKES} AS likes,
              {ratio(LIKES, VIEWS)} AS ctr
       FROM feed WHERE {DATE} = DATE '{p.AS_OF}' - 1 GROUP BY 1) d""")
 APP_TEXT = query(f"""
-SELECT {fill(reports.APP_TEXT,
+SELECT {fill(APP_MESSAGE,
              f"(SELECT count(*) FROM first_day WHERE start_date = DATE '{p.RETENTION_AS_OF}' - 1)",
              "coalesce(printf('%.2f', retention_pct), 'nan')")} AS message
 FROM ({DAY1}) d""", FIRST_DAY, ACTIVE)
 ALERT_TEXT = query(f"""
 SELECT metric, ts, is_alert,
-       {fill(reports.ALERT_TEXT, 'metric', "coalesce(printf('%.2f', value), 'nan')",
+       {fill(ALERT_MESSAGE, 'metric', "coalesce(printf('%.2f', value), 'nan')",
              f"coalesce(printf('%.2f', {DEVIATION} * 100), 'nan')")} AS message
 FROM flagged WHERE newest = 1""", *quarter_hours(CLOSED), SERIES, *bands(), FLAGGED)
 
 
 def labelled(pattern: str, column: str, rest: str, source: str, *steps: str) -> str:
-    return query(f"SELECT strftime({column}, '{pattern}') AS label, {rest} FROM ({source}) c", *steps)
+    return query(f"SELECT strftime({column}, '{pattern}') AS label, {column}, {rest} FROM ({source}) c", *steps)
 
 
 # --- experiments -------------------------------------------------------------
@@ -390,26 +400,24 @@ GROUP BY {shown}bin, bin_start, bin_end"""
 
 # --- resampling --------------------------------------------------------------
 
-def sampling(source: str, pair: tuple[int, int], n: int, iterations: int, seed: str) -> list[str]:
+def sampling(source: str, groups: tuple[int, ...], n: int, iterations: int, seed: str,
+             value: str = "ctr") -> list[str]:
     chunk = f"{hash15("'chunk:' || CAST(user_id AS VARCHAR)")} % 1024"
     key = hash15(f"concat_ws(':', '{seed}', exp_group, iteration, i)")
     return [f"""numbered AS (
 SELECT *, row_number() OVER (PARTITION BY exp_group ORDER BY {chunk}, user_id) - 1 AS number
-FROM {source} WHERE ctr IS NOT NULL AND exp_group IN {pair})""",
+FROM {source} WHERE {value} IS NOT NULL AND exp_group IN {groups})""",
             """population AS (SELECT exp_group, count(*) AS size FROM numbered GROUP BY 1)""",
             f"""draws AS (
-SELECT iteration, exp_group, size, i, {key} AS key
-FROM (SELECT exp_group, size, iteration,
-             unnest(range(CASE WHEN size >= {4 * n} THEN {2 * n + 64} ELSE size END)) AS i
-      FROM population, range({iterations}) r(iteration)) d)""",
-            f"""candidates AS (
-SELECT iteration, exp_group, number, min(key) AS key FROM (
-  SELECT iteration, exp_group, CASE WHEN size >= {4 * n} THEN key % size ELSE i END AS number,
-         CASE WHEN size >= {4 * n} THEN i ELSE key END AS key FROM draws) c GROUP BY 1, 2, 3)""",
+SELECT exp_group, iteration, list(struct_pack(i := i, t := {key} % (i + 1)) ORDER BY i) AS steps
+FROM (SELECT exp_group, iteration, unnest(range(size - {n}, size)) AS i
+      FROM population, range({iterations}) r(iteration)) d GROUP BY 1, 2)""",
             f"""samples AS (
-SELECT iteration, exp_group, user_id, ctr
-FROM (SELECT *, row_number() OVER (PARTITION BY iteration, exp_group ORDER BY key, number) AS place
-      FROM candidates) c JOIN numbered USING (exp_group, number) WHERE place <= {n})"""]
+SELECT iteration, exp_group, user_id, {value}
+FROM (SELECT iteration, exp_group, unnest(list_reduce(
+        list_transform(steps, lambda s: [s.t, s.i]),
+        lambda taken, s: taken || CASE WHEN list_contains(taken, s[1]) THEN [s[2]] ELSE [s[1]] END,
+        CAST([] AS BIGINT[]))) AS number FROM draws) c JOIN numbered USING (exp_group, number))"""]
 
 
 SIMULATION = [AA_USERS, *sampling("users", p.AA_PAIR, p.SAMPLE, p.ITERATIONS, p.AA_SEED),
@@ -459,6 +467,7 @@ ORACLE: dict[str, str] = {
     "sql_user_ctr": query(f"SELECT exp_group, user_id, likes, views, {six('ctr')} AS ctr FROM users", AB_USERS),
     "daily_slices_sink": SLICES,
     "daily_slices_table": SLICES,
+    "daily_slices_table_again": SLICES,
     "audience_csv": AUDIENCE,
     "daily_metrics": daily(1),
     "weekly_metrics": daily(7),
@@ -505,7 +514,7 @@ FROM flagged WHERE newest = 1""", *quarter_hours(CLOSED), SERIES, *bands(), FLAG
 SELECT {DATE} AS date, count(DISTINCT user_id) AS dau, {VIEWS} AS views, {LIKES} AS likes,
        {six(ratio(LIKES, VIEWS))} AS ctr
 FROM feed WHERE {DATE} < DATE '{p.AS_OF}' AND {DATE} >= DATE '{p.AS_OF}' - 7 GROUP BY 1"""),
-    "source_chart": labelled("%d/%m/%Y", "date", "organic, ads", BY_SOURCE),
+    "source_chart": labelled("%d/%m/%Y", "date", "organic, ads, other", BY_SOURCE),
     "views_chart": labelled("%d/%m/%Y", "date", "avg_views, median_views", VIEWS_PER_USER),
     "peak_chart": labelled("%d/%m %H:%M", "hour", "peak_users", peak("feed")),
     "retention_chart": labelled("%d/%m/%Y", "date", "users", "SELECT * FROM curve", FIRST_DAY, ACTIVE, CURVE),
@@ -532,6 +541,9 @@ FROM feed WHERE {DATE} < DATE '{p.AS_OF}' AND {DATE} >= DATE '{p.AS_OF}' - 7 GRO
     "bucket_histogram": query(histogram("buckets", "bucket_ctr", by="exp_group"), AB_USERS, BUCKETS),
     "sample_n_per_group": query("SELECT iteration, exp_group, user_id FROM samples",
                                 AA_USERS, *sampling("users", p.AA_PAIR, p.SAMPLE, p.ITERATIONS, p.AA_SEED)),
+    "sample_500_orders": query("SELECT iteration, exp_group, user_id FROM samples", """status AS (
+SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS exp_group, o_orderkey AS user_id, 1 AS ctr FROM orders)""",
+                               *sampling("status", (0, 1), 500, p.ORDER_ITERATIONS, p.AA_SEED)),
     "aa_simulation": query(f"SELECT iteration, {six('statistic')} AS statistic, {six('pvalue')} AS pvalue "
                            "FROM tested", *SIMULATION),
     "aa_false_positive_rate": query(f"""

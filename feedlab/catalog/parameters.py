@@ -18,6 +18,7 @@ BUCKETS = 50
 
 ITERATIONS = 10_000
 SAMPLE = 15
+ORDER_ITERATIONS = 20
 AA_SEED = "aa"
 REPLICATES = 2_000
 BOOTSTRAP_SEED = "boot"

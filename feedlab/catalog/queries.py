@@ -71,6 +71,14 @@ def _sample(feed: DataFrame) -> DataFrame:
     return resampling.sample_per_group(users, p.SAMPLE, p.ITERATIONS, list(p.AA_PAIR), p.AA_SEED, p.HASH)
 
 
+def sample_500_orders(spark: SparkSession, folder: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1)
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        status.alias("exp_group"), F.col("o_orderkey").cast("long").alias("user_id"))
+    return resampling.sample_per_group(checkpointed(orders), resampling.SAMPLE, p.ORDER_ITERATIONS, [0, 1],
+                                       p.AA_SEED, p.HASH)
+
+
 def _bootstrap(feed: DataFrame) -> DataFrame:
     return resampling.poisson_bootstrap(_ab_users(feed), p.AB_PAIR, p.REPLICATES,
                                         seed=p.BOOTSTRAP_SEED, method=p.HASH)
@@ -127,6 +135,22 @@ def daily_slices_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def daily_slices_table_again(spark: SparkSession, folder: str) -> DataFrame:
+    """All days, then one of them again, in a session that overwrites whole tables by default."""
+    path = fresh_path(spark, "daily_slices_table_again")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_slices_table(spark, name, path)
+    rows = checkpointed(slices.daily_slices(daily_load.joined_day(_feed(spark, folder), _messages(spark, folder))))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        tables.write_slices_table(rows, name)
+        tables.write_slices_table(rows.filter(F.col("event_date") == p.LITERAL_DAY), name)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    return spark.table(name)
+
+
 def audience_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "audience_csv")
     reports.audience_csv(_feed(spark, folder), path, p.AUDIENCE)
@@ -175,6 +199,7 @@ QUERIES: dict[str, Query] = {
     "sql_user_ctr": sql_user_ctr,
     "daily_slices_sink": daily_slices_sink,
     "daily_slices_table": daily_slices_table,
+    "daily_slices_table_again": daily_slices_table_again,
     "audience_csv": audience_csv,
     # daily metrics
     "daily_metrics": _on_feed(lambda feed: activity.daily(feed, p.AS_OF)),
@@ -256,6 +281,7 @@ QUERIES: dict[str, Query] = {
         lambda feed: histograms.histogram(checkpointed(_bucket_ctr(feed)), "bucket_ctr", by="exp_group", members=p.AB_PAIR)),
     # resampling
     "sample_n_per_group": _on_feed(_sample),
+    "sample_500_orders": sample_500_orders,
     "aa_simulation": _on_feed(_simulation),
     "aa_false_positive_rate": _on_feed(lambda feed: resampling.false_positive_rate(_simulation(feed))),
     "pvalue_histogram": _on_feed(

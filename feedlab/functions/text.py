@@ -1,23 +1,33 @@
-"""Number formats of the report texts."""
+"""Number formats of the report texts.
+
+Texts are a few rows, so Python's own correctly rounded formats are used, vectorised.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
+
+
+def _format(values: pd.Series, pattern: str) -> pd.Series:
+    return pd.Series([None if pd.isna(v) else format(v, pattern) for v in values], dtype=object)
+
+
+@F.pandas_udf(StringType())
+def _two_decimals(values: pd.Series) -> pd.Series:
+    return _format(values, ".2f")
+
+
+@F.pandas_udf(StringType())
+def _two_significant(values: pd.Series) -> pd.Series:
+    return _format(values, ".2")
 
 
 def two_decimals(value: Column) -> Column:
-    value = value.cast("double")
-    return F.when(value.isNotNull(), F.format_string("%.2f", value))
+    return _two_decimals(value.cast("double"))
 
 
 def two_significant(value: Column) -> Column:
     """Two significant digits: 0.0534 -> 0.053, 1.0 -> 1.0, 12.3 -> 1.2e+01."""
-    value = value.cast("double")
-    scientific = F.regexp_replace(F.format_string("%.1e", value), r"\.0e", "e")
-    exponent = F.regexp_extract(scientific, r"e([+-]\d+)$", 1).cast("int")
-    digits = scientific.cast("double").cast("decimal(20,10)").cast("string")
-    trimmed = F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ".0")
-    return (F.when(value.isNull(), None)
-            .when(value == 0, "0.0")
-            .when(exponent.between(-4, 0), trimmed)
-            .otherwise(scientific))
+    return _two_significant(value.cast("double"))

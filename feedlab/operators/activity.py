@@ -56,17 +56,20 @@ def ctr_daily(feed: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame
                        F.count_if(known & is_action("view"))).alias("ctr")))
 
 
-def dau_by_source(feed: DataFrame, as_of: dt.date | str, days: int = 14) -> DataFrame:
+def dau_by_source(feed: DataFrame, as_of: dt.date | str, days: int = 14,
+                  sources: tuple[str, ...] = ("organic", "ads")) -> DataFrame:
     """DAU per acquisition source, from ``days`` days ago up to the running day.
 
     One column per source, aligned by date; a source without users that day is 0.
+    Users of any other source, or of none, are counted under ``other``.
     """
-    sources = ["organic", "ads"]  # fixed values
     last = clock.as_date(as_of)
     users = (clock.on_days(feed, clock.days_before(last, days), last)
              .select(day().alias("date"), "source", "user_id").distinct())
     return users.groupBy("date").agg(
-        *[F.count(F.when(F.col("source") == s, F.col("user_id"))).alias(s) for s in sources])
+        *[F.count(F.when(F.col("source") == s, F.col("user_id"))).alias(s) for s in sources],
+        F.count_distinct(F.when(F.coalesce(~F.col("source").isin(list(sources)), F.lit(True)), F.col("user_id")))
+        .alias("other"))
 
 
 def views_per_user(feed: DataFrame, as_of: dt.date | str, days: int = 14,
@@ -88,8 +91,7 @@ def views_per_user(feed: DataFrame, as_of: dt.date | str, days: int = 14,
         F.percentile("views", 0.5, F.col("users")).alias("median_views"))
 
 
-def peak_per_hour(actions: DataFrame, on: dt.date | str, distinct: bool = False,
-                  limit: int = 1000) -> DataFrame:
+def peak_per_hour(actions: DataFrame, on: dt.date | str, distinct: bool = False) -> DataFrame:
     """Largest number of events in one second, for each hour of a day.
 
     ``distinct`` counts users instead of events. The day is cut on the raw
@@ -101,7 +103,7 @@ def peak_per_hour(actions: DataFrame, on: dt.date | str, distinct: bool = False,
                .agg(counter("user_id").alias("users")))
     return (seconds.groupBy(clock.grid("second", clock.HOUR).alias("hour"))
             .agg(F.max("users").alias("peak_users"))
-            .orderBy("hour").limit(limit))
+            .orderBy("hour"))
 
 
 def active_audience(feed: DataFrame, k: int = 10_000) -> DataFrame:
@@ -114,8 +116,11 @@ def active_audience(feed: DataFrame, k: int = 10_000) -> DataFrame:
 
 def _quarter_hours(actions: DataFrame, since: dt.datetime | None, until: dt.datetime | None) -> DataFrame:
     if since is not None and until is not None:
-        actions = clock.on_days(actions, since.date(), until.date()).filter(
-            (F.col("time") >= clock.moment(since)) & (F.col("time") < clock.moment(until)))
+        actions = clock.on_days(actions, since.date(), until.date())
+    if since is not None:
+        actions = actions.filter(F.col("time") >= clock.moment(since))
+    if until is not None:
+        actions = actions.filter(F.col("time") < clock.moment(until))
     return actions.withColumn("ts", clock.grid("time", clock.QUARTER_HOUR))
 
 
@@ -153,10 +158,10 @@ def closed_range(as_of: dt.datetime | str) -> tuple[dt.datetime, dt.datetime]:
 
 
 def metrics_15min(feed: DataFrame, messages: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
-    """Feed and messenger side by side; a side without events in a bucket is NULL.
+    """Feed and messenger side by side in time order; a side without events in a bucket is NULL.
 
     With ``as_of`` only the closed buckets since yesterday, else the whole log.
     """
     since, until = closed_range(as_of) if as_of is not None else (None, None)
     return feed_15min(feed, since, until).join(
-        message_15min(messages, since, until), on=["ts", "date", "hm"], how="full")
+        message_15min(messages, since, until), on=["ts", "date", "hm"], how="full").orderBy("ts")

@@ -70,11 +70,16 @@ def welch_linearized(users: DataFrame, control_group: int, test_group: int) -> D
     sums = (users.filter(F.col("exp_group").isin(control_group, test_group))
             .agg(*aggregates).withColumn("r", ratio("likes1", "views1")))
     r = F.col("r")
+
+    def floored(variance: Column) -> Column:
+        # likes exactly proportional to views: rounding may leave a variance just below zero
+        return F.when(variance < 0, 0.0).otherwise(variance)
+
     for side in SIDES:
         sums = (sums
                 .withColumn(f"mean{side}", F.col(f"likes{side}") - r * F.col(f"views{side}"))
-                .withColumn(f"var{side}", F.col(f"vl{side}") - 2 * r * F.col(f"lv{side}")
-                            + r * r * F.col(f"vv{side}")))
+                .withColumn(f"var{side}", floored(F.col(f"vl{side}") - 2 * r * F.col(f"lv{side}")
+                                                  + r * r * F.col(f"vv{side}"))))
     return _welch_from_moments(sums, [])
 
 

@@ -45,25 +45,20 @@ def numbered(users: DataFrame, method: str = "xxhash64", chunks: int = CHUNKS) -
 
 
 def _drawn(n: int, seed: int | str, method: str) -> Column:
-    """``n`` different numbers below ``population`` for one iteration and group.
+    """``n`` different numbers below ``population`` for one iteration and group, by Floyd's rule.
 
-    From a population over four samples large: numbers drawn with replacement,
-    the first ``n`` different ones. At most every fourth draw repeats, so among
-    2n + 64 draws ``n`` different ones are missed with a chance below 1e-20, and
-    the caller raises then. From a smaller one: all numbers in hash order, the
-    first ``n``.
+    For j from population - n up to population - 1 take a number drawn from 0 … j, or j
+    itself if that one is taken already: exactly ``n`` steps, and every set of ``n`` is
+    equally likely, whatever the population. The caller raises for a smaller one.
     """
     population = F.col("population")
 
-    def draw(i: Column) -> Column:
-        return hashing.hash_long(F.lit(seed), F.col("exp_group"), F.col("iteration"), i, method=method)
+    def step(taken: Column, j: Column) -> Column:
+        drawn = hashing.hash_long(F.lit(seed), F.col("exp_group"), F.col("iteration"), j, method=method) % (j + 1)
+        return F.array_append(taken, F.when(F.array_contains(taken, drawn), j).otherwise(drawn))
 
-    repeated = F.slice(F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.lit(2 * n + 63)), lambda i: draw(i) % population)), 1, n)
-    shuffled = F.transform(F.slice(F.array_sort(F.transform(
-        F.sequence(F.lit(0).cast("long"), population - 1),
-        lambda i: F.struct(draw(i).alias("key"), i.alias("i")))), 1, n), lambda s: s["i"])
-    return F.when(population >= 4 * n, repeated).otherwise(shuffled)
+    steps = F.when(population >= n, F.sequence(population - n, population - 1)) if n else F.array().cast("array<bigint>")
+    return F.aggregate(steps, F.array().cast("array<bigint>"), step)
 
 
 def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int],
@@ -71,20 +66,22 @@ def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int
     """``n`` users of each group without replacement, for every iteration.
 
     The work is iterations x n draws joined to numbered users, independent of
-    how large the groups are. Raises where a group has fewer than ``n`` users.
+    how large the groups are. Raises where a listed group has fewer than ``n``
+    users, or none at all.
     """
     ranked, sizes = numbered(users.filter(F.col("exp_group").isin(groups)), method)
     session = users.sparkSession
+    listed = session.createDataFrame([(g, 0) for g in groups], "exp_group INT, population BIGINT")
+    sizes = sizes.unionByName(listed).groupBy("exp_group").agg(F.sum("population").alias("population"))
     cells = (session.range(0, iterations, 1, spread(session))
              .select(F.col("id").alias("iteration"),
                      F.explode(F.array(*[F.lit(g) for g in groups])).alias("exp_group"))
              .join(F.broadcast(sizes), "exp_group"))  # one row per listed group
     short = F.raise_error(F.concat(F.lit(f"cannot sample {n} of "), F.col("population").cast("string")))
-    whole = F.when(F.size("drawn") < n, short.cast("array<bigint>")).otherwise(F.col("drawn"))
+    whole = F.when(F.col("population") < n, short.cast("array<bigint>")).otherwise(F.col("drawn"))
     draws = (cells.withColumn("drawn", _drawn(n, seed, method))
              .select("iteration", "exp_group", F.explode(whole).alias("number")))
-    # numbers are spread evenly, so each task hashes its even share of the users
-    return draws.join(ranked.hint("shuffle_hash"), ["exp_group", "number"]).drop("number")
+    return draws.join(ranked, ["exp_group", "number"]).drop("number")
 
 
 def aa_simulation(users: DataFrame, pair: tuple[int, int] = (2, 3), n: int = SAMPLE,

@@ -55,34 +55,34 @@ def alert_text(feed: DataFrame, messages: DataFrame, as_of: dt.datetime | str,
 def weekly_chart(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """The last seven days with the axis label of the weekly charts."""
     return activity.daily(feed, as_of, days=7).select(
-        clock.label("date", clock.LABEL_MONTH_FIRST).alias("label"), "dau", "views", "likes", "ctr")
+        "date", clock.label("date", clock.LABEL_MONTH_FIRST).alias("label"), "dau", "views", "likes", "ctr").orderBy("date")
 
 
 def source_chart(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     return activity.dau_by_source(feed, as_of).select(
-        clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "organic", "ads")
+        "date", clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "organic", "ads", "other").orderBy("date")
 
 
 def views_chart(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     return activity.views_per_user(feed, as_of).select(
-        clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "avg_views", "median_views")
+        "date", clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "avg_views", "median_views").orderBy("date")
 
 
 def peak_chart(actions: DataFrame, on: dt.date | str) -> DataFrame:
     return activity.peak_per_hour(actions, on).select(
-        clock.label("hour", clock.LABEL_DAY_HOUR).alias("label"), "peak_users")
+        "hour", clock.label("hour", clock.LABEL_DAY_HOUR).alias("label"), "peak_users").orderBy("hour")
 
 
 def retention_chart(feed: DataFrame, as_of: dt.date | str, age: int = 28) -> DataFrame:
     return cohorts.retention_curve(feed, as_of, age).select(
-        clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "users")
+        "date", clock.label("date", clock.LABEL_DAY_FIRST).alias("label"), "users").orderBy("date")
 
 
 def alert_chart(feed: DataFrame, messages: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """Every metric with its bands over the closed buckets."""
     series = anomaly.long_series(activity.metrics_15min(feed, messages, as_of))
     return anomaly.iqr_bands(series).select(
-        "metric", clock.label("ts", clock.LABEL_DAY_HOUR).alias("label"), "value", "up", "low")
+        "metric", "ts", clock.label("ts", clock.LABEL_DAY_HOUR).alias("label"), "value", "up", "low").orderBy("metric", "ts")
 
 
 def audience_csv(feed: DataFrame, path: str, k: int = 10_000) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedlab.functions.clock import PARTITION, day
 from feedlab.sources import schemas
@@ -34,18 +34,26 @@ def create_slices_table(spark: SparkSession, name: str, location: str | None = N
 
 
 def write_slices_table(slices: DataFrame, name: str) -> None:
-    """Replace the days in ``slices`` in the catalog table."""
-    columns = slices.sparkSession.table(name).columns
-    (slices.select(*columns).repartition(PARTITION).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(name))
+    """Replace the days in ``slices`` in the catalog table and keep all others.
+
+    An insert into a table heeds the session's overwrite mode alone, and its default
+    drops every other day. So the days are replaced at the table's location, where
+    the option counts, and their partitions are added to the catalog.
+    """
+    spark = slices.sparkSession
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    location = described.filter(F.col("col_name") == "Location").first()["data_type"]
+    write_slices(slices.select(*spark.table(name).columns), location)
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def write_log(log: DataFrame, path: str) -> None:
     """Store a feed or message log by day, replacing the days it holds.
 
     Day filters of the operators then open the folders of those days only, and
-    time filters skip row groups, as every file is in time order. The rows of a
-    day are written by as many tasks as the input has.
+    time filters skip row groups, as every file is in time order. A day's rows are
+    brought together first, so it has few files; adaptive execution splits a big day.
     """
-    (log.withColumn(PARTITION, day()).sortWithinPartitions(PARTITION, "time").write.mode("overwrite")
+    (log.withColumn(PARTITION, day()).hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, "time").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))

@@ -41,8 +41,10 @@ def _approximate(stream: DataFrame, delay: str, users: str, counts: dict[str, Co
 def feed_buckets(feed: DataFrame, delay: str = DELAY, approximate: bool = False) -> DataFrame:
     """Users, views, likes and CTR of every bucket the watermark has closed.
 
-    ``approximate`` keeps a sketch per bucket instead of a row per bucket and user.
+    ``approximate`` keeps a sketch per bucket instead of a row per bucket and user. As in
+    the batch form, actions without a user are not counted, but their bucket is there.
     """
+    feed = feed.withColumn("action", F.when(F.col("user_id").isNotNull(), F.col("action")))
     count = _approximate if approximate else _exact
     buckets = count(feed, delay, "users_feed", {"views": count_action("view"), "likes": count_action("like")})
     return buckets.withColumn("ctr", ratio("likes", "views"))
