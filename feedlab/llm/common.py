@@ -41,6 +41,19 @@ def partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def with_keys(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The columns of ``docs`` as one struct ``row``, next to keys: no name of theirs can clash with another."""
+    own = keys or dict(zip(("_id", "_hash"), document_key()))
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(held, *[value.alias(name) for name, value in own.items()])
+
+
+def without_keys(kept: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` out of ``row`` again, some of them replaced, in their order."""
+    return kept.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns],
+                       *[value.alias(c) for c, value in changed.items() if c not in docs.columns])
+
+
 def document_key() -> tuple[Column, Column]:
     """_id, _hash: a row's place in the order of documents, its doc_id (null first), then a hash of its text."""
     return (F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_id"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedlab.llm.common import document_key
+from feedlab.llm.common import document_key, with_keys, without_keys
 
 WORDS = 5
 
@@ -136,4 +136,4 @@ def contained(docs: DataFrame, benchmark: DataFrame, share: float = 0.8) -> Data
 def keep_clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item to ``share`` or more."""
     leaks = _verified(docs, benchmark, share).select("_id", "_hash").distinct()
-    return docs.select("*", *document_key()).join(leaks, ["_id", "_hash"], "left_anti").drop("_id", "_hash")
+    return without_keys(with_keys(docs).join(leaks, ["_id", "_hash"], "left_anti"), docs)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedlab.llm.common import document_key
+from feedlab.llm.common import document_key, with_keys, without_keys
 
 WINDOW = 3
 
@@ -60,12 +60,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     A hot passage costs one row per task before the shuffle (its first occurrence is a map-side minimum), and
     the join back to all occurrences is one that Spark may split. What a document gathers is bounded by its lines.
     """
-    rows = docs.drop("n_lines", "n_removed").select("*", *document_key())
-    lines = _lines("text")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
-    text = F.when(F.col("drop").isNull(), F.array_join(lines, "\n")).otherwise(
-        F.array_join(F.transform(kept, lambda at: F.get(lines, at)), "\n"))
+    rows = with_keys(docs).withColumn("lines", F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), "\n", -1))
+    joined = rows.join(repeated_lines(docs), ["_id", "_hash"], "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop"))
+    text = F.when(F.col("drop").isNull(), F.array_join("lines", "\n")).otherwise(
+        F.array_join(F.transform(kept, lambda at: F.get("lines", at)), "\n"))
     removed = F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop"))
-    return (rows.join(repeated_lines(docs), ["_id", "_hash"], "left")
-            .withColumns({"n_lines": F.size(lines).cast("long"), "n_removed": removed.cast("long")})
-            .withColumn("text", text).drop("_id", "_hash", "drop"))
+    return without_keys(joined, docs, text=text, n_lines=F.size("lines").cast("long"), n_removed=removed.cast("long"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
-from feedlab.llm.common import bounded_batches, partitions
+from feedlab.llm.common import bounded_batches, partitions, with_keys, without_keys
 from feedlab.storage import checkpointed
 
 #: Fingerprints in a tree at most, and queries that search it together.
@@ -266,8 +266,9 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     least = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("least"))
     first = (groups(rows, radius).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
              .select(F.col("least.doc_id").alias("_id"), F.col("least.fp").alias("_fp")))
-    own = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_fp": fingerprint_column(words)(F.col("text").cast("string"))})
+    own = with_keys(docs, _id=F.col("doc_id").cast("long"), _fp=fingerprint_column(words)(F.col("text").cast("string")),
+                    _text=F.col("text").cast("string"))
     kept = own.alias("o").join(
         first.alias("f"), (F.col("o._fp") == F.col("f._fp")) & F.col("o._id").eqNullSafe(F.col("f._id")), "left_semi")
-    place = F.row_number().over(Window.partitionBy("_fp", "_id").orderBy("text"))
-    return kept.withColumn("_place", place).filter("_place = 1").drop("_id", "_fp", "_place")
+    place = F.row_number().over(Window.partitionBy("_fp", "_id").orderBy("_text"))
+    return without_keys(kept.withColumn("_place", place).filter("_place = 1"), docs)
