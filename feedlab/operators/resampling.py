@@ -81,7 +81,8 @@ def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int
     whole = F.when(F.col("population") < n, short.cast("array<bigint>")).otherwise(F.col("drawn"))
     draws = (cells.withColumn("drawn", _drawn(n, seed, method))
              .select("iteration", "exp_group", F.explode(whole).alias("number")))
-    return draws.join(ranked, ["exp_group", "number"]).drop("number")
+    # every drawn number has its user; the outer form keeps listed groups without any, so that they raise
+    return draws.join(ranked, ["exp_group", "number"], "left").drop("number")
 
 
 def aa_simulation(users: DataFrame, pair: tuple[int, int] = (2, 3), n: int = SAMPLE,
