@@ -226,7 +226,7 @@ def _logsum(x: np.ndarray) -> float:
     return float(top + math.log(np.exp(x - top).sum()))
 
 
-def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, rate: float = 1.5,
+def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, rate: float = 0.2,
           ridge: float = 1e-6) -> Field:
     """Ascend the likelihood of the base spans' segmentations; examples are (text, words) of regions."""
     names: dict[str, int] = {}
@@ -237,7 +237,7 @@ def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, r
         if gold is not None:
             known.append((region, gold))
     field = Field(names, np.zeros((len(KINDS), len(names) + 1)), np.full(len(KINDS), -2.0))
-    past, past_bias = np.full_like(field.weights, 1e-6), np.full_like(field.bias, 1e-6)
+    past, past_bias = np.full_like(field.weights, 1e-4), np.full_like(field.bias, 1e-4)
     for _ in range(rounds if known else 0):
         slope, slope_bias = -ridge * len(known) * field.weights, np.zeros_like(field.bias)
         for region, gold in known:
@@ -248,10 +248,10 @@ def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, r
                 if np.abs(change).max() > 1e-9:
                     np.add.at(slope.T, region.segments[at], change)
                     slope_bias += change
-        past += slope**2
-        past_bias += slope_bias**2
-        field.weights += rate * slope / np.sqrt(past)
-        field.bias += rate * slope_bias / np.sqrt(past_bias)
+        past = 0.9 * past + 0.1 * slope**2
+        past_bias = 0.9 * past_bias + 0.1 * slope_bias**2
+        field.weights += rate * slope / np.sqrt(past + 1e-4)
+        field.bias += rate * slope_bias / np.sqrt(past_bias + 1e-4)
     return field
 
 
