@@ -31,7 +31,7 @@ LENGTH, GRAM = 200, 64
 HELD = 40_000
 
 #: Starts of strings looked at together.
-STEP = 1 << 18
+STEP = 1 << 17
 
 _ROWS = "part long, g long, c long, _id long, _v int, pos int, before int, after int, dup boolean, cover boolean"
 _NAMES = [x.split()[0] for x in _ROWS.split(", ")]
@@ -114,6 +114,7 @@ def _found(docs: DataFrame) -> DataFrame:
             pos, before, after = (x[k][order].astype(np.int32) for k in ("pos", "before", "after"))
             fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])
             dup = np.diff(np.append(np.flatnonzero(fresh), len(g)))[np.cumsum(fresh) - 1] > 1
+            del x, order
             for rows, cover, part in ((fresh, False, g), (dup, True, doc * 0x9E3779B1 ^ version)):
                 held = [y[rows] for y in (part, g, c, doc, version, pos, before, after, dup)]
                 yield pa.RecordBatch.from_arrays([pa.array(y) for y in (*held, np.full(int(rows.sum()), cover))], _NAMES)
@@ -251,18 +252,18 @@ def _searched(contexts: DataFrame, least: int) -> DataFrame:
     """_id, _v, pos, before, after: how far maximal repeats reach around each class asked about."""
 
     def covers(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
         g = rows["g"].to_numpy()
         cuts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, int)
         left, right = rows["left"].tolist(), rows["right"].tolist()
+        before, after = [0] * len(g), [-1] * len(g)  # the furthest reach so far: what nests is not kept
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(g)]):
             if b - a < 2:
                 continue
-            for before, after, members in maximal_repeats(left[a:b], right[a:b], least):
-                out += [(a + m, before, after) for m in members]
-        found = pd.DataFrame(out, columns=["row", "before", "after"]).groupby("row", as_index=False).max()
-        own = rows.iloc[found["row"].to_numpy(int)][["_id", "_v", "pos"]].reset_index(drop=True)
-        return own.assign(before=found["before"], after=found["after"])
+            for reach, depth, members in maximal_repeats(left[a:b], right[a:b], least):
+                for m in members:
+                    before[a + m], after[a + m] = max(before[a + m], reach), max(after[a + m], depth)
+        found = rows[["_id", "_v", "pos"]].assign(before=before, after=after)
+        return found[found["after"] >= 0]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -273,6 +274,7 @@ def _searched(contexts: DataFrame, least: int) -> DataFrame:
             yield covers(done.reset_index(drop=True))
         if held is not None:
             yield covers(held.reset_index(drop=True))
+        pa.default_memory_pool().release_unused()
 
     return (contexts.repartition(partitions(contexts.sparkSession), "g").sortWithinPartitions("g", "right")
             .mapInPandas(run, "_id long, _v int, pos int, before int, after int"))
