@@ -24,7 +24,7 @@ KINDS = ("email", "ip", "card", "phone")
 LONGEST = 5  # words of a segment
 REGION = 32  # words of a region; a longer run of marked words is several regions
 SAMPLE_DOCS = 400  # documents that the field is fitted on
-SAMPLE_REGIONS = 400
+SAMPLE_REGIONS = 300
 SURE = 0.99  # probability from which a segment is added
 
 Span = tuple[str, int, int]
@@ -226,7 +226,7 @@ def _logsum(x: np.ndarray) -> float:
     return float(top + math.log(np.exp(x - top).sum()))
 
 
-def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 60, rate: float = 0.2,
+def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 150, rate: float = 0.2,
           ridge: float = 1e-6) -> Field:
     """Ascend the likelihood of the base spans' segmentations; examples are (text, words) of regions."""
     names: dict[str, int] = {}
