@@ -152,7 +152,8 @@ class Region:
                 own = text[words[i][0]:words[j - 1][1]]
                 if not _MARKED.search(own):
                     continue
-                held = features(own, j - i)
+                held = [*features(own, j - i), f"behind a digit {i > 0 and text[words[i - 1][1] - 1].isdigit()}",
+                        f"before a digit {j < len(words) and text[words[j][0]].isdigit()}"]
                 if grow:
                     for f in held:
                         names.setdefault(f, len(names))
