@@ -211,7 +211,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, keep_text: bool = False)
         decoder = Decoder(shared.value)
         for batch in batches:
             ids = batch.column(1)
-            texts = [decoder.decode(x.as_py()) for x in ids]
+            values, sizes = np.asarray(ids.flatten()), np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
+            ends = np.cumsum(sizes, dtype=np.int64)
+            texts = [decoder.decode(values[e - n:e].tolist()) for e, n in zip(ends.tolist(), sizes.tolist())]
             own = [batch.column(0), pc.cast(pc.list_value_length(ids), pa.int64()), ids,
                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
             names = ["doc_id", "n_tokens", "ids", "text_sha256"]
