@@ -27,8 +27,9 @@ SPACE = "\u2581"
 #: Below the worst piece by this much for a character without a piece.
 UNKNOWN_PENALTY = 10.0
 
-#: Words whose pieces a worker remembers between slices of text.
-REMEMBERED = 600_000
+#: Words after which a worker starts a new generation of those it remembers between slices of text; words of the
+#: generation before that come again move over, all others are forgotten with it.
+GENERATION = 150_000
 
 
 @dataclass(frozen=True)
@@ -72,7 +73,9 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         import ahocorasick
 
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton()
         scored = [(p.replace(SPACE, " "), s, i) for i, (p, s) in enumerate(zip(vocabulary.pieces, vocabulary.scores))
                   if s is not None and p]
@@ -122,11 +125,11 @@ class Encoder:
         words = [split_words(t) for t in texts]
         coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
         codes, names = np.asarray(coded.indices, np.int64), coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > GENERATION:
+            self.known, self.before = {}, self.known
         for w in names:
             if w not in self.known:
-                self.known[w] = array("i", self.best(" " + w)).tobytes()
+                self.known[w] = self.before.get(w) or array("i", self.best(" " + w)).tobytes()
         lists = [self.known[w] for w in names]
         lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         flat = np.frombuffer(b"".join(lists), np.int32)
