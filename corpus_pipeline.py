@@ -39,7 +39,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers
 
     vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    return pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return pieces.round_trip(docs, vocabulary)
 
 
 STAGES: list[tuple[str, Stage]] = [

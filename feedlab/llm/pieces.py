@@ -141,17 +141,6 @@ class Encoder:
         return ids, np.diff(bounds)
 
 
-_ENCODERS: dict[Vocabulary, Encoder] = {}
-
-
-def encoder_of(vocabulary: Vocabulary) -> Encoder:
-    """The encoder of this worker, kept for the tasks to come."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
-
-
 def split_words(text: str) -> list[str]:
     """Words of a text, each without the one space before it; further spaces go with the word behind them."""
     parts = text.split(" ") if text else []
@@ -174,21 +163,28 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     texts have no ids; repeated rows and null ids are rows like others; further columns are ignored; no
     rows, no rows. Each row is encoded by itself, nothing is shuffled.
     """
-    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # of the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(shared.value)
-        for batch in batches:
-            for part in slices(batch):
-                ids, sizes = encoder.encode(plain(part.column(1)).to_pylist())
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
-                    names=["doc_id", "ids"])
+        return _encoded(batches, shared.value)
+
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-                       ).mapInArrow(run, "doc_id long, ids array<int>")
+
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(vocabulary)  # of this task: nothing stays in the worker after it
+    for batch in batches:
+        for part in slices(batch):
+            ids, sizes = encoder.encode(plain(part.column(1)).to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
+                names=["doc_id", "ids"])
 
 
 class Decoder:
@@ -206,23 +202,40 @@ class Decoder:
         return text[1:] if text.startswith(" ") else text
 
 
+def _columns(keep_text: bool) -> str:
+    return "doc_id long, n_tokens long, ids array<int>, text_sha256 string" + ", text string" * keep_text
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary, keep_text: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids and text_sha256 of the decoded text (and the text itself, if wanted)."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
-        for batch in batches:
-            ids = batch.column(1)
-            values, sizes = np.asarray(ids.flatten()), np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
-            ends = np.cumsum(sizes, dtype=np.int64)
-            texts = [decoder.decode(values[e - n:e].tolist()) for e, n in zip(ends.tolist(), sizes.tolist())]
-            own = [batch.column(0), pc.cast(pc.list_value_length(ids), pa.int64()), ids,
-                   pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
-            names = ["doc_id", "n_tokens", "ids", "text_sha256"]
-            if keep_text:
-                own, names = [*own, pa.array(texts, pa.string())], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(own, names=names)
-
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, text_sha256 string" + ", text string" * keep_text)
+        return _decoded(batches, shared.value, keep_text)
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, _columns(keep_text))
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, keep_text: bool = False) -> DataFrame:
+    """What ``decode`` gives of what ``encode`` gives, by one Python worker a task instead of two."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(_encoded(batches, shared.value), shared.value, keep_text)
+
+    return _texts(docs).mapInArrow(run, _columns(keep_text))
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, keep_text: bool) -> Iterator[pa.RecordBatch]:
+    decoder = Decoder(vocabulary)
+    for batch in batches:
+        ids = batch.column(1)
+        values, sizes = np.asarray(ids.flatten()), np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
+        ends = np.cumsum(sizes, dtype=np.int64)
+        texts = [decoder.decode(values[e - n:e].tolist()) for e, n in zip(ends.tolist(), sizes.tolist())]
+        own = [batch.column(0), pc.cast(pc.list_value_length(ids), pa.int64()), ids,
+               pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())]
+        names = ["doc_id", "n_tokens", "ids", "text_sha256"]
+        if keep_text:
+            own, names = [*own, pa.array(texts, pa.string())], [*names, "text"]
+        yield pa.RecordBatch.from_arrays(own, names=names)

@@ -45,7 +45,7 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    return pieces.decode(pieces.encode(table(spark, folder, "documents"), vocabulary), vocabulary)
+    return pieces.round_trip(table(spark, folder, "documents"), vocabulary)
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
