@@ -9,6 +9,9 @@ occurs twice is covered as far as it reaches. Where classes of one gram differ,
 give the common-prefix array, and a stack scan gives its interval tree. The left contexts of each interval are
 sorted and scanned in the same way; an interval of them whose members go on to the right in more than one
 way is a maximal repeat, with all its members.
+
+Grams with more than ``CLASSES`` classes take no such scan, as it needs all of them at once. Their classes are
+taken apart into the strings of ``length`` bytes around the gram, which are counted by hash over all tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +33,9 @@ LENGTH, GRAM = 200, 64
 #: Rows of one gram after which its classes are folded.
 HELD = 40_000
 
+#: Classes of one gram that are held and scanned together; of more, the strings around the gram are counted.
+CLASSES = 4_096
+
 #: Starts of strings looked at together.
 STEP = 1 << 17
 
@@ -37,7 +43,7 @@ _ROWS = "part long, g long, c long, _id long, _v int, pos int, before int, after
 _NAMES = [x.split()[0] for x in _ROWS.split(", ")]
 
 
-_HELD_NAMES = ["_id", "_v", "pos", "before", "after", "g", "dup", "cover"]
+_HELD_NAMES = ["_id", "_v", "pos", "before", "after", "g", "dup", "cover", "many"]
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
@@ -123,26 +129,31 @@ def _found(docs: DataFrame) -> DataFrame:
 
 
 def _resolved(found: DataFrame) -> DataFrame:
-    """_id, _v, pos, before, after, g, dup, cover: covers, and the classes of grams that have several.
+    """_id, _v, pos, before, after, g, dup, cover, many: covers, and the classes of grams that have several.
 
     Reads rows in the order of (g, c). Of a class that comes again every row is a cover. One row of each class
-    goes on as a question if its gram has another class and not all of them are covered already.
+    goes on as a question if its gram has another class and not all of them are covered already. ``many`` marks
+    the questions of grams with more than ``CLASSES`` classes; these go on as they come, covered or not.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, many = None, None  # many: the open gram, if classes of it have gone on
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
             open_rows = (batch["g"] == batch["g"].iloc[-1]) & ~batch["cover"]
             held, done = batch[open_rows], batch[~open_rows]
-            yield _classes(done)
+            yield _classes(done, many)
             if len(held) > HELD:
                 held, covers = _folded(held)
                 yield covers
+                if len(held) > CLASSES:  # the last class may go on in the next batch
+                    many = held["g"].iloc[0]
+                    yield held.iloc[:-1].assign(many=True)[_HELD_NAMES]
+                    held = held.iloc[-1:]
         if held is not None:
-            yield _classes(held)
+            yield _classes(held, many)
 
-    names = "_id long, _v int, pos int, before int, after int, g long, dup boolean, cover boolean"
+    names = "_id long, _v int, pos int, before int, after int, g long, dup boolean, cover boolean, many boolean"
     return (found.repartition(partitions(found.sparkSession), "part").sortWithinPartitions("cover", "g", "c")
             .mapInPandas(run, names))
 
@@ -153,12 +164,14 @@ def _folded(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
     size = np.diff(np.append(first, len(c)))
     dup = (size > 1) | np.logical_or.reduceat(rows["dup"].to_numpy(), first)
-    covers = rows[np.repeat(size > 1, size)].assign(cover=True)
+    covers = rows[np.repeat(size > 1, size)].assign(cover=True, many=False)
     return rows.iloc[first].assign(dup=dup), covers[_HELD_NAMES]
 
 
-def _classes(rows: pd.DataFrame) -> pd.DataFrame:
+def _classes(rows: pd.DataFrame, many: int | None = None) -> pd.DataFrame:
+    """Covers and questions of whole grams; of the gram ``many``, classes have gone on before."""
     names = _HELD_NAMES
+    rows = rows.assign(many=False)
     covers, own = rows[rows["cover"]], rows[~rows["cover"]]
     if own.empty:
         return covers[names]
@@ -172,12 +185,14 @@ def _classes(rows: pd.DataFrame) -> pd.DataFrame:
     asked = own.iloc[first].assign(dup=dup)
     grams = asked.groupby("g")["dup"].transform("size")
     settled = asked.groupby("g")["dup"].transform("all")
-    return pd.concat([covers[names], new[names], asked[(grams > 1) & ~settled][names]])
+    begun = asked["g"] == many if many is not None else np.zeros(len(asked), bool)
+    asked = asked.assign(many=(grams > CLASSES) | begun)
+    return pd.concat([covers[names], new[names], asked[((grams > 1) & ~settled) | begun][names]])
 
 
 def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """g, dup, _id, _v, pos, left (read backwards), right: the contexts of the classes asked about."""
-    per_doc = asked.groupBy("_id", "_v").agg(F.collect_list(F.struct("g", "dup", "pos", "before", "after")).alias("asked"))
+    """g, many, _id, _v, pos, left (read backwards), right: the contexts of the classes asked about."""
+    per_doc = asked.groupBy("_id", "_v").agg(F.collect_list(F.struct("g", "many", "pos", "before", "after")).alias("asked"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -186,12 +201,12 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 data = text.encode("utf-8")
                 for x in wanted:
                     p, q = x["pos"], x["pos"] + GRAM
-                    rows.append((x["g"], x["dup"], doc, version, p, data[p - x["before"]:p][::-1],
+                    rows.append((x["g"], x["many"], doc, version, p, data[p - x["before"]:p][::-1],
                                  data[q:q + x["after"]]))
-            yield pd.DataFrame(rows, columns=["g", "dup", "_id", "_v", "pos", "left", "right"])
+            yield pd.DataFrame(rows, columns=["g", "many", "_id", "_v", "pos", "left", "right"])
 
     return (docs.select("_id", "_v", "text").join(per_doc, ["_id", "_v"])
-            .mapInPandas(run, "g long, dup boolean, _id long, _v int, pos int, left binary, right binary"))
+            .mapInPandas(run, "g long, many boolean, _id long, _v int, pos int, left binary, right binary"))
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -249,7 +264,10 @@ def maximal_repeats(left: list[bytes], right: list[bytes], least: int) -> Iterat
 
 
 def _searched(contexts: DataFrame, least: int) -> DataFrame:
-    """_id, _v, pos, before, after: how far maximal repeats reach around each class asked about."""
+    """_id, _v, pos, before, after: how far maximal repeats reach around each class asked about.
+
+    A task holds one gram's classes, ``CLASSES`` at most, and one batch.
+    """
 
     def covers(rows: pd.DataFrame) -> pd.DataFrame:
         g = rows["g"].to_numpy()
@@ -280,10 +298,35 @@ def _searched(contexts: DataFrame, least: int) -> DataFrame:
             .mapInPandas(run, "_id long, _v int, pos int, before int, after int"))
 
 
+def _counted(contexts: DataFrame, reach: int) -> DataFrame:
+    """The same for grams of any number of classes: strings with ``reach`` bytes around the gram that come again.
+
+    Two classes share such a string if they share gram, place of the gram in it, and the bytes on both sides. The
+    strings of one class that come again all hold its gram, so the first and the last of them give what is covered.
+    """
+    before, after = F.length("left"), F.length("right")
+    around = F.transform(
+        F.sequence(F.greatest(F.lit(0), reach - after), F.least(before, F.lit(reach))),
+        lambda b: F.struct(b.alias("before"), F.xxhash64(b, F.substr("left", F.lit(1), b),
+                                                         F.substr("right", F.lit(1), reach - b)).alias("w")))
+    strings = (contexts.filter(before + after >= reach).select("g", "_id", "_v", "pos", F.explode(around).alias("s"))
+               .select("g", "s.w", "_id", "_v", "pos", "s.before"))
+    # stored, so that the join deals both sides itself and can split a string that very many classes share
+    again = stored(strings.groupBy("g", "w").agg(F.count("*").alias("n")).filter("n > 1").select("g", "w"), "strings")
+    return (strings.join(again, ["g", "w"], "left_semi").groupBy("_id", "_v", "pos")
+            .agg(F.max("before").alias("before"), (reach - F.min("before")).alias("after")))
+
+
 def covered(keyed: DataFrame) -> DataFrame:
     """_id, _v, spans (array of start, end): what repeats of ``LENGTH`` bytes or more cover in each document."""
     rows = stored(_resolved(_found(keyed)), "repeats")
-    asked = _searched(_contexts(keyed, rows.filter("NOT cover")), LENGTH - GRAM)
+    contexts = _contexts(keyed, rows.filter("NOT cover"))
+    if rows.filter("many").isEmpty():
+        asked = _searched(contexts, LENGTH - GRAM)
+    else:
+        contexts = stored(contexts, "contexts")
+        asked = _searched(contexts.filter("NOT many"), LENGTH - GRAM).union(
+            _counted(contexts.filter("many"), LENGTH - GRAM))
     places = [F.col("pos") - F.col("before"), F.col("pos") + GRAM + F.col("after")]
     spans = rows.filter("cover").select("_id", "_v", "pos", "before", "after").union(asked).select(
         "_id", "_v", F.struct(places[0].alias("start"), places[1].alias("end")).alias("span"))
