@@ -2,7 +2,8 @@
 
 The template is a black box to the span search: it is called with successive prefixes of the turns and
 consecutive outputs are compared. A turn's span is what its output adds to the one before. A template that
-changes what it wrote for earlier turns is detected and reported instead of being given wrong spans.
+changes what it wrote for earlier turns is detected and reported instead of being given wrong spans. Conversations
+are rendered whole, except by templates that are declared to write turn after turn.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ Render = Callable[[list[Turn]], str]
 # The control strings of the template.
 HEAD, BREAK, END = "### ", ":\n", "</turn>\n"
 
-#: Turns rendered as one series of prefixes; a longer conversation is rendered part by part.
+#: Turns rendered as one series of prefixes by a template that writes turn after turn; a longer conversation is
+#: rendered part by part. Other templates get every conversation whole.
 PART_TURNS = 64
 
 
@@ -83,14 +85,15 @@ def spans(render: Render, turns: list[Turn]) -> Rendered:
 
 
 def text_span(render: Render, role: str, text: str) -> tuple[int, int]:
-    """Where the text stands within the output of its turn alone.
+    """Where the text stands within the output of its turn alone, counted from the end of what no turns give.
 
     It begins where outputs of differing texts part; what an empty turn has from there on is the closing marker.
     """
+    head = len(render([]))
     a, b = render([(role, "a")]), render([(role, "b")])
     start = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
     closing = len(render([(role, "")])) - start
-    return start, len(render([(role, text)])) - closing
+    return start - head, len(render([(role, text)])) - closing - head
 
 
 def format_part(render: Render, turns: list[Turn], trained: str) -> tuple[str, list[list[int]], bool]:
@@ -99,11 +102,11 @@ def format_part(render: Render, turns: list[Turn], trained: str) -> tuple[str, l
         rendered = spans(render, turns)
     except HistoryRewritten:
         return render(turns), [], False
-    masked = []
+    masked, head = [], render([])
     for (role, text), (start, end) in zip(turns, rendered.spans):
         if role == trained:
             a, b = text_span(render, role, text)
-            if start + b > end or rendered.text[start:end] != render([(role, text)]):
+            if start + b > end or head + rendered.text[start:end] != render([(role, text)]):
                 a, b = 0, end - start  # the turn depends on its place: its whole span is learned
             masked.append([start + a, start + b])
     return rendered.text, masked, True
@@ -117,14 +120,20 @@ def _ordered(conversations: DataFrame) -> DataFrame:
             .repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
 
 
-def format_conversations(conversations: DataFrame, render: Render = template, trained: str = "assistant") -> DataFrame:
+def format_conversations(conversations: DataFrame, render: Render = template, trained: str = "assistant",
+                         concatenates: bool | None = None) -> DataFrame:
     """conv_id (as text), part, text, mask (array of [start, end], code points), kept: a row for each part.
 
     Turns go by (turn, role, text); null roles and texts are empty; rows with a null conv_id are one
-    conversation; repeated rows are repeated turns; no rows, no parts. Turns are streamed: a task holds
-    ``PART_TURNS`` of them, however long a conversation is. ``kept`` is false, and the mask empty, where the
-    template rewrites history.
+    conversation; repeated rows are repeated turns; no rows, no parts. ``kept`` is false, and the mask empty, where
+    the template rewrites history.
+
+    ``concatenates`` declares that the output of a conversation is that of its parts, one after another; only the
+    default template is taken to do so unasked. Then turns are streamed: a task holds ``PART_TURNS`` of them,
+    however long a conversation is. By any other template a conversation is one part, rendered whole: a task holds
+    one conversation, and n turns cost n renderings of up to n turns.
     """
+    most = PART_TURNS if concatenates or (concatenates is None and render is template) else None
 
     def emit(key, part: int, turns: list[Turn]) -> tuple:
         text, mask, kept = format_part(render, turns, trained)
@@ -135,7 +144,7 @@ def format_conversations(conversations: DataFrame, render: Render = template, tr
         for batch in batches:
             rows = []
             for key, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
-                if key != open_key or len(turns) == PART_TURNS:
+                if key != open_key or len(turns) == most:
                     if turns:
                         rows.append(emit(open_key, part, turns))
                     part, turns, open_key = (part + 1 if key == open_key else 0), [], key
