@@ -4,11 +4,14 @@ Rules find the base spans. The field learns from them what spans look like as a
 shape) and scores candidate segments of up to ``LONGEST`` words in the regions that hold digits or @. Dynamic
 programming over boundaries and kinds sums all segmentations of a region, which gives each segment its
 probability; the best segmentation's segments that are nearly certain are added where no base span stands.
+Regions are never cut: a long one is streamed, and a few numbers are kept for each of its words.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -22,7 +25,7 @@ from feedlab.llm.common import bounded_batches
 KINDS = ("email", "ip", "card", "phone")
 
 LONGEST = 5  # words of a segment
-REGION = 32  # words of a region; a longer run of marked words is several regions
+REGION = 32  # words of a region that the field is fitted on; there, a longer one is several
 SAMPLE_DOCS = 400  # documents that the field is fitted on
 SAMPLE_REGIONS = 300
 SURE = 0.99  # probability from which a segment is added
@@ -90,10 +93,12 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{s}:{e}" for kind, s, e in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2])))
 
 
-def regions(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of words with a digit or @, one word apart at most, each with a word before and behind it.
+def regions(text: str, most: int | None = None) -> Iterator[list[tuple[int, int]]]:
+    """Runs of words with a digit or @, two words apart at most, each with a word before and two behind it.
 
-    Words are given as (start, end) without the quotes, brackets and stops around them.
+    Words are given as (start, end) without the quotes, brackets and stops around them; no word is in two regions.
+    ``most`` cuts runs of so many words, as examples to fit on: regions then end behind the second unmarked word
+    and may share a word with the next.
     """
     if not _MARKED.search(text):
         return
@@ -108,9 +113,12 @@ def regions(text: str) -> Iterator[list[tuple[int, int]]]:
             last = 0
         else:
             last += 1
+        if run and last == 3:
+            yield run
+            run = []
         if run or last == 0:
             run.append(word)
-            if last >= 2 or len(run) >= REGION:
+            if most and (last >= 2 or len(run) >= most):
                 yield run
                 run = []
         before = word
@@ -141,6 +149,15 @@ def features(text: str, words: int) -> list[str]:
             f"other {any(not (c.isalnum() or c in ' .+-()@%_') for c in text)}"]
 
 
+def context(text: str, words: list[tuple[int, int]], i: int, j: int) -> list[str] | None:
+    """Names of what holds for words i .. j-1 of a region as a segment; None if it is not a candidate."""
+    own = text[words[i][0]:words[j - 1][1]]
+    if not _MARKED.search(own):
+        return None
+    return [*features(own, j - i), f"behind a digit {i > 0 and text[words[i - 1][1] - 1].isdigit()}",
+            f"before a digit {j < len(words) and text[words[j][0]].isdigit()}"]
+
+
 class Region:
     """A region's candidate segments: for each (start, end) of words the places of its features."""
 
@@ -149,11 +166,9 @@ class Region:
         self.segments: dict[tuple[int, int], np.ndarray] = {}
         for i in range(len(words)):
             for j in range(i + 1, min(i + LONGEST, len(words)) + 1):
-                own = text[words[i][0]:words[j - 1][1]]
-                if not _MARKED.search(own):
+                held = context(text, words, i, j)
+                if held is None:
                     continue
-                held = [*features(own, j - i), f"behind a digit {i > 0 and text[words[i - 1][1] - 1].isdigit()}",
-                        f"before a digit {j < len(words) and text[words[j][0]].isdigit()}"]
                 if grow:
                     for f in held:
                         names.setdefault(f, len(names))
@@ -222,6 +237,40 @@ class Field:
         return found[::-1]
 
 
+    def likely(self, text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, float]]:
+        """(start, end, kind, probability) of the segments of the best segmentation of a region, of any length.
+
+        One pass ahead finds it and the sums up to each boundary, one pass back the sums behind; scores are held
+        for the segments that end at one boundary, and their sums for the way back.
+        """
+        n = len(words)
+        value, ahead, behind = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+        size, kind, score = np.ones(n + 1, np.int8), np.full(n + 1, -1, np.int8), np.zeros(n + 1)
+        sums = np.full((n + 1, LONGEST + 1), -np.inf)  # of the segments by end and words
+        for j in range(1, n + 1):
+            value[j] = value[j - 1]
+            for i in range(max(0, j - LONGEST), j):
+                held = context(text, words, i, j)
+                if held is None:
+                    continue
+                own = self.bias + self.weights[:, [self.names[f] for f in held if f in self.names]].sum(axis=1)
+                sums[j, j - i] = _logsum(own)
+                k = int(own.argmax())
+                if value[i] + own[k] > value[j]:
+                    value[j], size[j], kind[j], score[j] = value[i] + own[k], j - i, k, own[k]
+            back = np.arange(1, min(LONGEST, j) + 1)
+            ahead[j] = _logsum(np.append(ahead[j - back] + sums[j, back], ahead[j - 1]))
+        for i in range(n - 1, -1, -1):
+            on = np.arange(1, min(LONGEST, n - i) + 1)
+            behind[i] = _logsum(np.append(behind[i + on] + sums[i + on, on], behind[i + 1]))
+        at = n
+        while at:
+            i = at - int(size[at])
+            if kind[at] >= 0:
+                yield i, at, int(kind[at]), math.exp(min(0.0, ahead[i] + score[at] + behind[at] - ahead[n]))
+            at = i
+
+
 def _logsum(x: np.ndarray) -> float:
     top = x.max()
     return float(top + math.log(np.exp(x - top).sum()))
@@ -268,7 +317,7 @@ def fit(docs: DataFrame) -> Field:
         for batch in batches:
             rows = []
             for text in batch.column(0).to_pylist():
-                for words in regions(text):
+                for words in regions(text, REGION):
                     start, end = words[0][0], words[-1][1]
                     rows.append((text[start:end], [x - start for w in words for x in w]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
@@ -282,17 +331,16 @@ def fit(docs: DataFrame) -> Field:
 def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
     """Nearly certain segments of the best segmentation of each region that touch no base span."""
     found: list[Span] = []
+    stands = sorted((s, e) for _, s, e in base)
+    reach = list(itertools.accumulate((e for _, e in stands), max))
     for words in regions(text):
-        region = Region(text, words, field.names, grow=False)
-        taken = [(s, e) for _, s, e in base if s < words[-1][1] and e > words[0][0]]
-        sure = None
-        for i, j, kind in field.best(region):
+        added = []
+        for i, j, kind, probability in field.likely(text, words):
             start, end = words[i][0], words[j - 1][1]
-            if any(s < end and e > start for s, e in taken):
-                continue
-            sure = sure or field.probabilities(region)
-            if sure[i, j][kind] >= SURE:
-                found.append((KINDS[kind], start, end))
+            before = bisect.bisect_left(stands, (end,))  # base spans that start before the end
+            if probability >= SURE and not (before and reach[before - 1] > start):
+                added.append((KINDS[kind], start, end))
+        found += added[::-1]
     return found
 
 
