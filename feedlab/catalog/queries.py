@@ -187,8 +187,8 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_daily_slices(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "stream_slices")
     feed = sources.feed_actions(sources.stream_events(spark, folder))
-    each = jobs.slice_batches(_messages(spark, folder), f"{path}/feed", f"{path}/slices")
-    jobs.start(feed, each, f"{path}/state").awaitTermination()
+    messages = sources.message_actions(sources.stream_events(spark, folder))
+    jobs.start_slices(feed, messages, f"{path}/logs", f"{path}/slices", f"{path}/state").awaitTermination()
     return tables.read_slices(spark, f"{path}/slices")
 
 

@@ -77,7 +77,8 @@ def slice_batches(messages: DataFrame, feed_path: str, path: str) -> Callable[[D
     """Recompute the daily slices of the days a batch touches and replace them.
 
     The batch is stored first, by day, so a day is sliced from all its rows and
-    only the folders of touched days are read. ``messages`` is a batch frame.
+    only the folders of touched days are read. ``messages`` is a batch frame, its
+    files fixed when it is made: messages that come later need ``start_slices``.
     """
     def each(feed: DataFrame, batch: int) -> None:
         spark = feed.sparkSession
@@ -100,5 +101,36 @@ def slice_batches(messages: DataFrame, feed_path: str, path: str) -> Callable[[D
     return each
 
 
+def start_slices(feed: DataFrame, messages: DataFrame, store: str, path: str, checkpoint: str,
+                 every: str | None = None) -> StreamingQuery:
+    """Daily slices from two streams, in whichever order their rows come.
+
+    Every batch adds the rows of both logs to ``store``, by log and day, and slices the
+    days that either log touches again from all their rows, read afresh. A repeated
+    batch replaces its own folders. The driver holds one date for each touched day.
+    """
+    columns = {"feed": feed.columns, "messages": messages.columns}
+    tagged = [log.filter(F.col("time").isNotNull()).withColumn("log", F.lit(name))
+              for name, log in (("feed", feed), ("messages", messages))]
+    both = (tagged[0].unionByName(tagged[1], allowMissingColumns=True)
+            .withColumn("event_date", F.to_date("time")))
+
+    def each(rows: DataFrame, batch: int) -> None:
+        rows = rows.withColumn("batch", F.lit(batch).cast("long")).persist()
+        days = [r.event_date for r in rows.select("event_date").distinct().collect()]
+        if days:
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("log", "event_date", "batch").parquet(store))
+            stored = rows.sparkSession.read.schema(_ddl(rows)).parquet(store).filter(F.col("event_date").isin(days))
+            sides = {name: stored.filter(F.col("log") == name).select(*own, "event_date")
+                     for name, own in columns.items()}
+            joined = slices.join_user_day(slices.feed_user_day(sides["feed"]),
+                                          slices.message_user_day(sides["messages"]))
+            write_slices(slices.daily_slices(joined), path)
+        rows.unpersist()
+
+    return start(both, each, checkpoint, every)
+
+
 def _ddl(frame: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
