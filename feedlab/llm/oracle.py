@@ -32,3 +32,71 @@ m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared
 SELECT doc_id, item_id, n::BIGINT AS n_shingles, shared::BIGINT AS n_shared, round(shared / n, 6) AS containment
 FROM m JOIN n ON n.id = item_id WHERE shared >= 0.8 * n
 """
+
+
+#: Rows (vec_id, label, i, v) of the vectors kept, a component each; v is the whole number.
+_COMPONENTS = """
+WITH kept AS (SELECT vec_id, label, embedding FROM embeddings
+              WHERE embedding IS NOT NULL {only}
+                AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c AS MATERIALIZED (SELECT vec_id, label, i, floor(1024 * e::DOUBLE)::BIGINT AS v
+      FROM (SELECT vec_id, label, unnest(embedding) AS e, unnest(range(0, len(embedding))) AS i FROM kept))"""
+
+
+def floored(total: str, count: str) -> str:
+    """SQL of the exact floor of a quotient of whole numbers."""
+    return f"CAST(({total} - (({total} % {count}) + {count}) % {count}) // {count} AS BIGINT)"
+
+
+def codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, dims: int = 64) -> str:
+    """Codebooks refined round by round, then codes and errors."""
+    width = dims // parts
+    sql = _COMPONENTS.format(only="") + f""",
+p AS MATERIALIZED (SELECT vec_id, label, i // {width} AS part, i % {width} AS j, v FROM c),
+b0 AS MATERIALIZED (SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, j, v FROM p
+       WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"""
+    for k in range(rounds + 1):
+        sql += f""",
+d{k} AS (SELECT p.vec_id, p.part, b.entry, sum((p.v - b.v) * (p.v - b.v)) AS apart
+         FROM p JOIN b{k} b ON p.part = b.part AND p.j = b.j GROUP BY p.vec_id, p.part, b.entry),
+a{k} AS MATERIALIZED (SELECT vec_id, part, entry, apart FROM (
+         SELECT *, row_number() OVER (PARTITION BY vec_id, part ORDER BY apart, entry) AS place FROM d{k}) WHERE place = 1)"""
+        if k < rounds:
+            sql += f""",
+s{k} AS (SELECT a.part, a.entry, p.j, sum(p.v)::BIGINT AS total, count(*)::BIGINT AS n
+         FROM a{k} a JOIN p ON a.vec_id = p.vec_id AND a.part = p.part GROUP BY a.part, a.entry, p.j),
+b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.j, coalesce({floored("s.total", "s.n")}, b.v) AS v
+         FROM b{k} b LEFT JOIN s{k} s ON b.part = s.part AND b.entry = s.entry AND b.j = s.j)"""
+    return sql + f""",
+r AS (SELECT vec_id, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error
+      FROM a{rounds} GROUP BY vec_id),
+l AS (SELECT r.*, label FROM r JOIN kept USING (vec_id))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, j)) FROM b{rounds}) AS codebooks_sha256
+FROM l"""
+
+
+def centroids_sql(clusters: int = 8, rounds: int = 10, dims: int = 64, seed: int = 3) -> str:
+    """Centroids refined round by round, then clusters and distances."""
+    sql = _COMPONENTS.format(only=f"AND len(embedding) = {dims}") + f""",
+b0 AS MATERIALIZED (SELECT entry, i, v FROM c JOIN (
+       SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS entry FROM kept) USING (vec_id)
+       WHERE entry < {clusters})"""
+    for k in range(rounds + 1):
+        sql += f""",
+d{k} AS (SELECT c.vec_id, b.entry, sum((c.v - b.v) * (c.v - b.v)) AS apart
+         FROM c JOIN b{k} b ON c.i = b.i GROUP BY c.vec_id, b.entry),
+a{k} AS MATERIALIZED (SELECT vec_id, entry, apart FROM (
+         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY apart, entry) AS place FROM d{k}) WHERE place = 1)"""
+        if k < rounds:
+            sql += f""",
+s{k} AS (SELECT a.entry, c.i, sum(c.v)::BIGINT AS total, count(*)::BIGINT AS n
+         FROM a{k} a JOIN c ON a.vec_id = c.vec_id GROUP BY a.entry, c.i),
+b{k + 1} AS MATERIALIZED (SELECT b.entry, b.i, coalesce({floored("s.total", "s.n")}, b.v) AS v
+         FROM b{k} b LEFT JOIN s{k} s ON b.entry = s.entry AND b.i = s.i)"""
+    return sql + f""",
+h AS (SELECT entry, sha256(string_agg(v::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM b{rounds} GROUP BY entry)
+SELECT vec_id, entry::INTEGER AS cluster, apart::BIGINT AS distance,
+       (sum(apart) OVER (PARTITION BY entry))::BIGINT AS cluster_inertia, (sum(apart) OVER ())::BIGINT AS inertia,
+       centroid_sha256
+FROM a{rounds} JOIN h USING (entry)"""

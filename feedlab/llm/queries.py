@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import chat, decontamination, lines, minhash, oracle, personal, pieces, quality, repeats, simhash, token_files
+from feedlab.llm import (anchors, chat, decontamination, lines, minhash, oracle, personal, pieces, quality, repeats,
+                         simhash, token_files, zones)
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,14 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
                                public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return anchors.compress(table(spark, folder, "embeddings"), parts=4, entries=256, rounds=4)
+
+
+def op13_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return zones.cluster(table(spark, folder, "embeddings"), dims=64, clusters=8, rounds=10, seed=3)
+
+
 QUERIES: dict[str, Query] = {
     "op1_repeats": op1_repeats,
     "op2_line_dedup": op2_line_dedup,
@@ -70,10 +79,14 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
+    "op11_codes": op11_codes,
+    "op13_clusters": op13_clusters,
 }
 
 #: SQL of the queries that SQL can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op2_line_dedup": oracle.LINE_DEDUP,
     "op5_decontamination": oracle.DECONTAMINATION,
+    "op11_codes": oracle.codes_sql(),
+    "op13_clusters": oracle.centroids_sql(),
 }
