@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlab.llm import (anchors, chat, decontamination, lines, minhash, oracle, personal, pieces, quality, repeats,
-                         simhash, token_files, zones)
+from feedlab.llm import (anchors, chat, decontamination, language, lines, minhash, oracle, personal, pieces, quality,
+                         repeats, simhash, token_files, zones)
 from feedlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
     return anchors.compress(table(spark, folder, "embeddings"), parts=4, entries=256, rounds=4)
 
 
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 def op13_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return zones.cluster(table(spark, folder, "embeddings"), dims=64, clusters=8, rounds=10, seed=3)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
     "op11_codes": op11_codes,
+    "op12_language": op12_language,
     "op13_clusters": op13_clusters,
 }
 
