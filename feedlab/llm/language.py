@@ -53,7 +53,7 @@ _MIX = np.uint32(0x9E3779B1)
 
 
 def cells(data: np.ndarray) -> np.ndarray:
-    """The cell of every n-gram of folded bytes; n-grams of two spaces and more side by side are left out."""
+    """The cell of every n-gram of folded bytes; n-grams with two spaces side by side, and a space alone, are left out."""
     found = []
     code = np.zeros(len(data), np.uint32)
     blank = data == 32
@@ -65,11 +65,9 @@ def cells(data: np.ndarray) -> np.ndarray:
         code = (code[:kept] << np.uint32(8)) | data[n - 1:]
         if n > 1:
             double = double[:kept] | (blank[n - 2:n - 2 + kept] & blank[n - 1:])
-        else:
-            double = blank
         if n in GRAMS:
             # all four bytes are in the code; the length goes into the hash, so that lengths do not meet in one cell
-            mixed = (code[~double] + np.uint32(n * 0x3C6EF372 & 0xFFFFFFFF)) * _MIX
+            mixed = (code[~(double if n > 1 else blank)] + np.uint32(n * 0x3C6EF372 & 0xFFFFFFFF)) * _MIX
             found.append((mixed ^ (mixed >> np.uint32(15))) * _MIX >> np.uint32(32 - CELLS.bit_length() + 1))
     return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
