@@ -12,6 +12,9 @@ way is a maximal repeat, with all its members.
 
 Grams with more than ``CLASSES`` classes take no such scan, as it needs all of them at once. Their classes are
 taken apart into the strings of ``length`` bytes around the gram, which are counted by hash over all tasks.
+
+Grams, contexts and strings are compared by 64-bit hashes: two that differ pass for equal with a chance of 2^-64.
+Contexts only meet within a gram, so of n different contexts of one gram about n^2 / 2^65 pairs are mixed up.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from feedlab.llm.bytesums import ByteSums, mixed
-from feedlab.llm.common import LOWEST, bounded_batches, partitions, stored, utf8
+from feedlab.llm.common import bounded_batches, partitions, stored, utf8
 
 LENGTH, GRAM = 200, 64
 
@@ -39,7 +42,7 @@ CLASSES = 4_096
 #: Starts of strings looked at together.
 STEP = 1 << 17
 
-_ROWS = "part long, g long, c long, _id long, _v int, pos int, before int, after int, dup boolean, cover boolean"
+_ROWS = "part long, g long, c long, _id long, _v long, pos int, before int, after int, dup boolean, cover boolean"
 _NAMES = [x.split()[0] for x in _ROWS.split(", ")]
 
 
@@ -98,9 +101,17 @@ def _owner(starts: np.ndarray, a: int, b: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """_id, _v, doc_id, text: two hashes of id and text, 128 bits in all, tell rows apart.
+
+    Rows alike in both id and text share a key, which is right: whatever covers one covers the other. Null ids are
+    told apart by their texts. Two different rows share a key with a chance of 2^-128.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_id"), F.hash(text).alias("_v"),
-                       F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    own = [F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")]
+    rows = docs.select(*own)
+    # a null is skipped by the hash, so it is named
+    named = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text")]
+    return rows.select(F.xxhash64(*named).alias("_id"), F.xxhash64(F.lit("again"), *named).alias("_v"), "doc_id", "text")
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -113,7 +124,7 @@ def _found(docs: DataFrame) -> DataFrame:
             if not len(x["row"]):
                 continue
             doc = np.asarray(batch.column(0), np.int64)[x["row"]]
-            version = np.asarray(batch.column(1), np.int32)[x["row"]]
+            version = np.asarray(batch.column(1), np.int64)[x["row"]]
             g, c = x["g"].view(np.int64), x["c"].view(np.int64)
             order = np.lexsort((c, g))
             g, c, doc, version = g[order], c[order], doc[order], version[order]
@@ -153,7 +164,7 @@ def _resolved(found: DataFrame) -> DataFrame:
         if held is not None:
             yield _classes(held, many)
 
-    names = "_id long, _v int, pos int, before int, after int, g long, dup boolean, cover boolean, many boolean"
+    names = "_id long, _v long, pos int, before int, after int, g long, dup boolean, cover boolean, many boolean"
     return (found.repartition(partitions(found.sparkSession), "part").sortWithinPartitions("cover", "g", "c")
             .mapInPandas(run, names))
 
@@ -206,7 +217,7 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["g", "many", "_id", "_v", "pos", "left", "right"])
 
     return (docs.select("_id", "_v", "text").join(per_doc, ["_id", "_v"])
-            .mapInPandas(run, "g long, many boolean, _id long, _v int, pos int, left binary, right binary"))
+            .mapInPandas(run, "g long, many boolean, _id long, _v long, pos int, left binary, right binary"))
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -295,7 +306,7 @@ def _searched(contexts: DataFrame, least: int) -> DataFrame:
         pa.default_memory_pool().release_unused()
 
     return (contexts.repartition(partitions(contexts.sparkSession), "g").sortWithinPartitions("g", "right")
-            .mapInPandas(run, "_id long, _v int, pos int, before int, after int"))
+            .mapInPandas(run, "_id long, _v long, pos int, before int, after int"))
 
 
 def _counted(contexts: DataFrame, reach: int) -> DataFrame:
