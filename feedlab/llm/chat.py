@@ -130,28 +130,35 @@ def format_conversations(conversations: DataFrame, render: Render = template, tr
 
     ``concatenates`` declares that the output of a conversation is that of its parts, one after another; only the
     default template is taken to do so unasked. Then turns are streamed: a task holds ``PART_TURNS`` of them,
-    however long a conversation is. By any other template a conversation is one part, rendered whole: a task holds
-    one conversation, and n turns cost n renderings of up to n turns.
+    however long a conversation is. The declaration is checked wherever a conversation is cut: the part with the
+    next turn must come out as the part, then that turn alone. Where it does not, ``kept`` is false, and the
+    mask empty, from that part on; a conversation is whole if all its parts are ``kept``. By any other template a
+    conversation is one part, rendered whole: a task holds one conversation, and n turns cost n renderings of up to
+    n turns.
     """
     most = PART_TURNS if concatenates or (concatenates is None and render is template) else None
 
-    def emit(key, part: int, turns: list[Turn]) -> tuple:
+    def emit(key, part: int, turns: list[Turn], joined: bool) -> tuple:
         text, mask, kept = format_part(render, turns, trained)
-        return key, part, text, mask, kept
+        return key, part, text, mask if joined else [], kept and joined
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_key, part, turns = "none", 0, []
+        open_key, part, turns, joined = object(), 0, [], True
         for batch in batches:
             rows = []
             for key, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
                 if key != open_key or len(turns) == most:
+                    goes_on = bool(turns) and key == open_key
+                    if goes_on:
+                        joined = joined and render([*turns, (role, text)]) == render(turns) + render([(role, text)])
                     if turns:
-                        rows.append(emit(open_key, part, turns))
-                    part, turns, open_key = (part + 1 if key == open_key else 0), [], key
+                        rows.append(emit(open_key, part, turns, joined))
+                    part, turns, open_key = (part + 1 if goes_on else 0), [], key
+                    joined = joined or not goes_on
                 turns.append((role, text))
             yield _frame(rows)
         if turns:
-            yield _frame([emit(open_key, part, turns)])
+            yield _frame([emit(open_key, part, turns, joined)])
 
     return _ordered(conversations).mapInPandas(
         run, "conv_id string, part int, text string, mask array<array<int>>, kept boolean")
@@ -164,12 +171,15 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of the conversations as parsed from the output of ``format_conversations``.
 
-    Reads the parts where and in the order in which they were made (a conversation's parts follow each other in
-    one partition), and keeps running hashes only.
+    The parts of a conversation are brought together and put in order first, so the frame may be stored, filtered
+    by conversation or dealt anew in between. Only running hashes are kept.
     """
+    spark = formatted.sparkSession
+    formatted = (formatted.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "part")
+                 .select("conv_id", "text", "mask"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = "none", None
+        key, state = object(), None
         for batch in batches:
             rows = []
             for own, text, mask in zip(batch["conv_id"], batch["text"], batch["mask"]):
