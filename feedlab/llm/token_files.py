@@ -47,6 +47,12 @@ REMEMBERED = 300_000
 #: Signs that stand behind words and are one part of the split with each other.
 STOPS = ".,;:!?*#$%&"
 
+#: Letters that no normal form joins with their neighbours and that each have one lower case: those below U+0130.
+LETTERS = "".join(chr(c) for c in range(0x130) if chr(c).isalpha())
+
+#: White space that texts are cut at.
+SPACES = " \t\n\x0b\x0c\r"
+
 MANIFEST = "part int, path string, first_doc long, last_doc long, docs long, ids long"
 
 
@@ -57,12 +63,43 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def splits_at_space(made: dict) -> regex.Pattern | None:
+    """The splitter's pattern, if the definition proves that ids of words between white space are those of the text.
+
+    That holds if the text is normalised by steps that handle each word by itself, and cut into matches of a
+    pattern each alternative of which is a literal without white space, or a class of characters, once or repeated,
+    that holds none; what lies between matches is dropped, so white space only ever ends a piece; and no added
+    token holds or swallows white space. None for every other definition.
+    """
+    normal, cut = made.get("normalizer") or {}, made.get("pre_tokenizer") or {}
+    steps = [x.get("type") for x in normal.get("normalizers", [])]
+    pieces = cut.get("pretokenizers") or [{}]
+    if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in pieces] != ["Split", "ByteLevel"]:
+        return None
+    first, second = pieces
+    replaced = normal["normalizers"][1]
+    if not (replaced["pattern"] == {"Regex": r"\s+"} and replaced["content"] == " " and first.get("invert")
+            and first.get("behavior") == "Removed" and not second.get("use_regex") and not second.get("add_prefix_space")):
+        return None
+    pattern = first["pattern"].get("Regex", " ")
+    for choice in regex.split(r"\|(?![^\[]*\])", pattern):
+        literal = regex.fullmatch(r"[^\\\[\](){}.*+?^$\s]+", choice)
+        one = regex.fullmatch(r"(\[[^\[\]]+\])\+?", choice)
+        if not literal and not (one and not any(regex.match(one[1], c) for c in SPACES)):
+            return None
+    for token in made.get("added_tokens", []):
+        if token["lstrip"] or token["rstrip"] or any(c in SPACES for c in token["content"]):
+            return None
+    return regex.compile(pattern)
+
+
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, each distinct word encoded once per slice.
+    """Ids of whole texts by the tokenizers library.
 
-    The vocabulary's normaliser and splitter never look across white space, so a text's ids are the ids
-    of its words in order. Words of plain Latin letters are split by the vocabulary's own pattern and their
-    parts, which recur more, go to the library's merges; any other word goes through the whole library.
+    Where the definition proves that pieces end at white space (``splits_at_space``), each distinct word is
+    encoded once and remembered. Words of plain letters go to the library's merges as they are, other words of a known
+    kind are split by the definition's own pattern first, and the rest go through the whole library. By any other
+    definition whole texts are encoded.
     """
 
     def __init__(self, definition: str):
@@ -70,12 +107,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        made = json.loads(definition)
-        steps = [x.get("type") for x in made["normalizer"]["normalizers"]] if made.get("normalizer") else []
-        first = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.split = None
-        if steps == ["NFC", "Replace", "Lowercase"] and first.get("type") == "Split" and first.get("invert"):
-            self.split = regex.compile(first["pattern"]["Regex"])
+        self.split = splits_at_space(json.loads(definition))
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -84,14 +116,15 @@ class WordEncoder:
         own = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.tokenizer.model.tokenize(own)]
 
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def word(self, text: str) -> list[int]:
         if not text:
             return []
-        if self.split and text.isascii() and text.isalpha():
-            return self.part(text.lower())
         # Below U+0130 no letter is composed or has a lower case that depends on its neighbours.
-        if self.split is None or not (text.isascii() or max(text) < "\u0130") or "<|" in text or not text.isprintable():
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if not (text.isascii() or max(text) < "\u0130") or "<|" in text or not text.isprintable():
+            return self.whole(text)
         return [i for p in self.split.findall(text.lower()) for i in self.part(p)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,19 +132,19 @@ class WordEncoder:
 
         Plain words are looked up without their case and apart from the signs behind them.
         """
+        if self.split is None:
+            ids = [np.array(self.whole(t), np.uint32) for t in texts.to_pylist()]
+            return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.array([len(x) for x in ids], np.int64)
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         names, codes = coded.dictionary, np.asarray(coded.indices, np.int64)
-        if self.split:
-            heads = pc.ascii_rtrim(names, STOPS)
-            whole = pc.invert(pc.ascii_is_alpha(heads))
-            head = pc.if_else(whole, names, pc.ascii_lower(heads))
-            size = pc.if_else(whole, 0, pc.subtract(pc.binary_length(names), pc.binary_length(heads)))
-            tail = pa.array([n[-k:] if k else "" for n, k in zip(names.to_pylist(), size.to_pylist())], pa.string())
-            parts = pa.concat_arrays([head, tail]).dictionary_encode()
-        else:
-            parts = pa.concat_arrays([names, pa.array([""] * len(names), pa.string())]).dictionary_encode()
-        ids = self.look_up(parts.dictionary.to_pylist())
+        tail = pc.utf8_ltrim(names, LETTERS)
+        simple = pc.equal(pc.ascii_rtrim(tail, STOPS), "")  # letters, then signs, either of them possibly none
+        head = pc.if_else(simple, pc.utf8_lower(pc.ascii_rtrim(names, STOPS)), names)
+        parts = pa.concat_arrays([head, pc.if_else(simple, tail, "")]).dictionary_encode()
+        # no word holds a line break
+        every = pc.binary_join(pa.ListArray.from_arrays([0, len(parts.dictionary)], parts.dictionary), "\n")[0].as_py()
+        ids = self.look_up(every.split("\n")) if len(parts.dictionary) else []
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.uint32)
         pair = np.asarray(parts.indices, np.int64).reshape(2, -1)[:, codes].T.ravel()  # head, tail, head, tail ...
@@ -123,15 +156,20 @@ class WordEncoder:
         return found, np.diff(bounds)
 
     def look_up(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as bytes, kept for later; of what was not asked for lately only half is forgotten."""
+        """Ids of each of some different words as bytes, kept for later; of what was not asked for lately only half
+        is forgotten."""
         if len(self.known) > REMEMBERED:
             self.before, self.known = self.known, {}
+        known, before = self.known, self.before
         found = []
         for w in words:
-            ids = self.known.get(w)
+            ids = known.get(w)
             if ids is None:
-                ids = self.before.get(w)
-                self.known[w] = ids = array("I", self.word(w)).tobytes() if ids is None else ids
+                ids = before.get(w)
+                if ids is None:
+                    # letters below U+0130 in lower case are one piece as they stand
+                    ids = array("I", self.part(w) if w.isalpha() and max(w) < "\u0130" else self.word(w)).tobytes()
+                known[w] = ids
             found.append(ids)
         return found
 
@@ -304,7 +342,24 @@ def summaries(manifest: DataFrame) -> DataFrame:
 
 
 def fetch(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id and ids of the documents in ``wanted`` (doc_id); only frames that may hold one are read."""
+    """doc_id and ids of the documents in ``wanted`` (doc_id); only frames that may hold one are read.
+
+    Files hold ranges of ids in ascending order, so the files of an id are found by halving the list of first and
+    last ids: two numbers a file, and there are as many files as one stage had tasks. A document that was written
+    more than once comes as often; null ids are not looked for.
+    """
+    files = sorted((r["first_doc"], r["last_doc"], r["part"]) for r in
+                   manifest.filter("first_doc IS NOT NULL").select("first_doc", "last_doc", "part").collect())
+    first, last, part = (np.array(x, np.int64) for x in (zip(*files) if files else ([], [], [])))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = np.asarray(batch.column(0), np.int64)
+            low, high = np.searchsorted(last, docs), np.searchsorted(first, docs, "right")
+            size = np.maximum(high - low, 0)
+            at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            yield pa.RecordBatch.from_pydict({"part": pa.array(part[at].astype(np.int32)),
+                                              "doc_id": pa.array(np.repeat(docs, size))})
 
     def read_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -320,9 +375,10 @@ def fetch(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
                         hits = [(d, ids[e - n:e].tolist()) for d, n, e in zip(docs, lengths, ends) if d in near]
                         yield pd.DataFrame(hits, columns=["doc_id", "ids"])
 
-    asked = (wanted.select("doc_id").dropna().distinct()
-             .join(manifest, F.col("doc_id").between(F.col("first_doc"), F.col("last_doc")))
-             .groupBy("part", "path").agg(F.collect_set("doc_id").alias("asked")))  # ids of one file's documents
+    asked = (wanted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
+             .mapInArrow(place, "part int, doc_id long")
+             .groupBy("part").agg(F.collect_list("doc_id").alias("asked"))  # ids of one file's documents
+             .join(manifest.select("part", "path"), "part"))
     return asked.mapInPandas(read_part, "doc_id long, ids array<long>")
 
 
