@@ -1,9 +1,15 @@
 """Personal data in texts: four kinds by rule, and more by a semi-Markov conditional random field.
 
-Rules find the base spans. The field learns from them what spans look like as a whole (digits, marks, checksums,
-shape) and scores candidate segments of up to ``LONGEST`` words in the regions that hold digits or @. Dynamic
-programming over boundaries and kinds sums all segmentations of a region, which gives each segment its
-probability; the best segmentation's segments that are nearly certain are added where no base span stands.
+Rules find the base spans. The field scores candidate segments of up to ``LONGEST`` words in the regions that hold
+digits or @, by what holds for each as a whole (digits, groups, marks, checksums, shape). It is there for what the
+rules cannot see, so it learns from spans written differently: besides a sample of regions as they stand, it is given
+them with every span rewritten as people do (a phone without its plus sign, an address with blanks or brackets around
+the @, a card number with points), so that no rule finds it. Numbers in the sample that are no spans, like card
+numbers with a wrong checksum, teach it what to leave alone. A part of the sample is held out, and the probability
+from which segments are added is the lowest that is nearly always right there.
+
+Dynamic programming over boundaries and kinds sums all segmentations of a region, which gives each segment its
+probability; the best segmentation's segments that are likely enough are added where no base span stands.
 Regions are never cut: a long one is streamed, and a few numbers are kept for each of its words.
 """
 
@@ -14,7 +20,8 @@ import hashlib
 import itertools
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +35,10 @@ LONGEST = 5  # words of a segment
 REGION = 32  # words of a region that the field is fitted on; there, a longer one is several
 SAMPLE_DOCS = 400  # documents that the field is fitted on
 SAMPLE_REGIONS = 300
-SURE = 0.99  # probability from which a segment is added
+SURE = 0.99  # probability from which a segment is added, unless held-out regions allow a lower one
+THRESHOLDS = (0.5, 0.7, 0.8, 0.9, 0.95)  # tried from the first
+RIGHT = 0.97  # share of the segments added in held-out regions that must be right
+HELD_OUT = 4  # of so many regions one is held out
 
 Span = tuple[str, int, int]
 
@@ -140,11 +150,16 @@ def features(text: str, words: int) -> list[str]:
     letters = sum(c.isalpha() for c in text)
     parts = text.split(".")
     octets = len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
-    head, at, tail = text.partition("@")
+    head, at, tail = re.sub(r"[\s()\[\]]", "", text).replace(",", ".").partition("@")
+    groups = re.findall(r"[0-9]+", text)
+    sizes = "-".join(str(min(len(g), 9)) for g in groups[:6])
+    marks = "".join(sorted({c for c in text if not c.isalnum()}))
     shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", text)))[:16]
     return [f"words {words}", f"digits {min(len(digits), 20)}", f"letters {min(letters, 4)}", f"dots {min(text.count('.'), 4)}",
             f"at {min(text.count('@'), 2)}", f"plus {text[:1] == '+'}", f"octets {octets}",
-            f"checksum {14 <= len(digits) <= 19 and luhn(digits)}", f"shape {shape}",
+            f"checksum {14 <= len(digits) <= 19 and luhn(digits)}", f"shape {shape}", f"groups {sizes if letters == 0 else ''}",
+            f"four small {len(groups) == 4 and letters == 0 and all(len(g) <= 3 and int(g) <= 255 for g in groups)}",
+            f"marks {marks[:8]}", f"lengths {len(digits)} {len(groups)} {letters > 0}",
             f"mail {bool(at and head and '.' in tail.strip('.') and '@' not in tail)}",
             f"other {any(not (c.isalnum() or c in ' .+-()@%_') for c in text)}"]
 
@@ -189,8 +204,8 @@ class Region:
 class Field:
     """Weights of (kind, feature); a word outside all segments scores nothing."""
 
-    def __init__(self, names: dict[str, int], weights: np.ndarray, bias: np.ndarray):
-        self.names, self.weights, self.bias = names, weights, bias
+    def __init__(self, names: dict[str, int], weights: np.ndarray, bias: np.ndarray, sure: float = SURE):
+        self.names, self.weights, self.bias, self.sure = names, weights, bias, sure
 
     def scores(self, region: Region) -> dict[tuple[int, int], np.ndarray]:
         return {at: self.bias + self.weights[:, f].sum(axis=1) for at, f in region.segments.items()}
@@ -276,14 +291,14 @@ def _logsum(x: np.ndarray) -> float:
     return float(top + math.log(np.exp(x - top).sum()))
 
 
-def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 150, rate: float = 0.2,
-          ridge: float = 1e-6) -> Field:
-    """Ascend the likelihood of the base spans' segmentations; examples are (text, words) of regions."""
+def train(examples: list[tuple], rounds: int = 150, rate: float = 0.2, ridge: float = 1e-6) -> Field:
+    """Ascend the likelihood of the spans' segmentations; examples are (text, words, spans) of regions, or without
+    spans, which are the base spans then."""
     names: dict[str, int] = {}
     known = []
-    for text, words in examples:
+    for text, words, *spans in examples:
         region = Region(text, words, names, grow=True)
-        gold = region.gold(base_spans(text))
+        gold = region.gold(spans[0] if spans else base_spans(text))
         if gold is not None:
             known.append((region, gold))
     field = Field(names, np.zeros((len(KINDS), len(names) + 1)), np.full(len(KINDS), -2.0))
@@ -305,6 +320,76 @@ def train(examples: list[tuple[str, list[tuple[int, int]]]], rounds: int = 150,
     return field
 
 
+def _between(signs: str, text: str) -> str:
+    """The groups of digits of a text with ``signs`` between them; a long run is cut into fours."""
+    groups = re.findall(r"[0-9]+", text)
+    if len(groups) == 1:
+        groups = re.findall(r"[0-9]{1,4}", groups[0])
+    return signs.join(groups)
+
+
+#: Ways in which spans are written that the rules do not see.
+REWRITTEN: dict[str, list[Callable[[str], str]]] = {
+    "email": [lambda x: x.replace("@", " @ "), lambda x: x.replace("@", "(@)"), lambda x: x.replace("@", "[@]"),
+              lambda x: x.replace("@", "@ "), lambda x: x.partition("@")[0] + "@" + x.partition("@")[2].replace(".", ",")],
+    "ip": [lambda x: x.replace(".", ","), lambda x: x.replace(".", ". "), lambda x: x.replace(".", "[.]"),
+           lambda x: x.replace(".", "-"), lambda x: x.replace(".", " ")],
+    "card": [lambda x: _between(".", x), lambda x: _between("/", x), lambda x: _between("  ", x), lambda x: _between("_", x)],
+    "phone": [lambda x: x.removeprefix("+"), lambda x: "00" + x.removeprefix("+"), lambda x: _between("/", x),
+              lambda x: _between(".", x), lambda x: _between(" ", x)],
+}
+
+
+def rewritten(text: str, pick: int) -> tuple[str, list[Span]]:
+    """The text with each base span written in another way, the ``pick``-th from one chosen by the span itself, and
+    where the spans stand now. Spans that overlap others, or that a rule still finds, stay out of the result."""
+    parts, spans, at, end = [], [], 0, 0
+    for kind, s, e in base_spans(text):
+        if s < end:
+            continue
+        ways = REWRITTEN[kind]
+        new = ways[(zlib.crc32(text[s:e].encode("utf-8", "replace")) + pick) % len(ways)](text[s:e])
+        parts += [text[end:s], new]
+        at += s - end
+        spans.append((kind, at, at + len(new)))
+        at, end = at + len(new), e
+    made = "".join(parts) + text[end:]
+    seen = [(s, e) for _, s, e in base_spans(made)]
+    return made, [x for x in spans if not any(s < x[2] and e > x[1] for s, e in seen)]
+
+
+def examples(text: str, pick: int) -> Iterator[tuple]:
+    """(text, words, spans) of a region as it stands and, if it has spans, of the same with all of them rewritten."""
+    def words(own: str) -> list[tuple[int, int]]:
+        return [_trimmed(own, m.start(), m.end()) for m in re.finditer(r"\S+", own)]
+
+    base = base_spans(text)
+    yield text, words(text), base
+    if base:
+        made, spans = rewritten(text, pick)
+        if len(spans) == len(base):
+            yield made, words(made), spans
+
+
+def likely_spans(field: Field, text: str, words: list[tuple[int, int]]) -> list[tuple[Span, float]]:
+    return [((KINDS[k], words[i][0], words[j - 1][1]), p) for i, j, k, p in field.likely(text, words)]
+
+
+def threshold(field: Field, held: list[tuple]) -> float:
+    """The lowest of ``THRESHOLDS`` from which at least ``RIGHT`` of the segments added in held-out examples are
+    right, or ``SURE``."""
+    found = []
+    for text, words, spans in held:
+        base = base_spans(text)
+        found += [(p, span in spans) for span, p in likely_spans(field, text, words)
+                  if not any(s < span[2] and e > span[1] for _, s, e in base)]
+    for least in THRESHOLDS:
+        taken = [right for p, right in found if p >= least]
+        if len(taken) >= 20 and sum(taken) >= RIGHT * len(taken):
+            return least
+    return SURE
+
+
 def fit(docs: DataFrame) -> Field:
     """Fit the field on a bounded sample: regions of the ``SAMPLE_DOCS`` documents with a digit or @ whose texts hash
     lowest, at most ``SAMPLE_REGIONS`` regions. Only that sample reaches the driver; without any, nothing is added."""
@@ -315,21 +400,19 @@ def fit(docs: DataFrame) -> Field:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                for words in regions(text, REGION):
-                    start, end = words[0][0], words[-1][1]
-                    rows.append((text[start:end], [x - start for w in words for x in w]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
-                                              pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["text", "words"])
-
-    sample = (marked.filter(F.col("h") <= bound).select("text").mapInArrow(run, "text string, words array<int>")
-              .distinct().orderBy(F.xxhash64("text"), "words").limit(SAMPLE_REGIONS).collect())
-    return train([(r["text"], list(zip(r["words"][::2], r["words"][1::2]))) for r in sample])
+            rows = [text[words[0][0]:words[-1][1]] for text in batch.column(0).to_pylist() for words in regions(text, REGION)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["text"])
+
+    sample = [r["text"] for r in marked.filter(F.col("h") <= bound).select("text").mapInArrow(run, "text string")
+              .distinct().orderBy(F.xxhash64("text")).limit(SAMPLE_REGIONS).collect()]
+    made = [list(examples(text, k)) for k, text in enumerate(sample)]
+    field = train([x for k, some in enumerate(made) if k % HELD_OUT for x in some])
+    field.sure = threshold(field, [x for some in made[::HELD_OUT] for x in some])
+    return field
 
 
 def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
-    """Nearly certain segments of the best segmentation of each region that touch no base span."""
+    """Segments of the best segmentation of each region that are likely enough and touch no base span."""
     found: list[Span] = []
     stands = sorted((s, e) for _, s, e in base)
     reach = list(itertools.accumulate((e for _, e in stands), max))
@@ -338,7 +421,7 @@ def added_spans(field: Field, text: str, base: list[Span]) -> list[Span]:
         for i, j, kind, probability in field.likely(text, words):
             start, end = words[i][0], words[j - 1][1]
             before = bisect.bisect_left(stands, (end,))  # base spans that start before the end
-            if probability >= SURE and not (before and reach[before - 1] > start):
+            if probability >= field.sure and not (before and reach[before - 1] > start):
                 added.append((KINDS[kind], start, end))
         found += added[::-1]
     return found
