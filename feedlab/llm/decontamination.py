@@ -22,8 +22,11 @@ WORDS = 5
 #: 96 miss it with a chance below 2e-9.
 PERMUTATIONS = 96
 
-#: Rows of the items' side that are broadcast at most; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes of the items' side that are broadcast at most, as summed up; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
+
+#: Bytes of a row of ``signatures`` in memory.
+PROBE_BYTES = 48
 
 #: Besides the space.
 _BLANK = "\t\n\r"
@@ -58,9 +61,10 @@ def _value(shingle: Column, permutation: Column) -> Column:
     return F.xxhash64(shingle, permutation)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast only what is counted and within the bound; Spark chooses the join otherwise."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, size: Column) -> DataFrame:
+    """Broadcast only if the bytes of all rows (``size`` of each) are within the bound; Spark chooses the join otherwise."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -73,14 +77,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def signatures(items: DataFrame) -> DataFrame:
-    """shingle, probes: for each shingle that is a minimum of an item, what it is the minimum of."""
+    """shingle, item, length, i, v: a row for each minimum of an item, by the shingle it is taken at."""
     length = F.pow(F.lit(2), F.ceil(F.log2(F.col("n")))).cast("int")
     single = (items.select("item", length.alias("length"), F.explode("shingles").alias("shingle"))
               .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1)))))
     least = single.groupBy("item", "length", "i").agg(
         F.min(F.struct(_value(F.col("shingle"), F.col("i")).alias("v"), "shingle")).alias("m"))
-    return (least.groupBy(F.col("m.shingle").alias("shingle"))
-            .agg(F.collect_list(F.struct("item", "length", "i", F.col("m.v").alias("v"))).alias("probes")))
+    return least.select(F.col("m.shingle").alias("shingle"), "item", "length", "i", F.col("m.v").alias("v"))
 
 
 def candidates(docs: DataFrame, probes: DataFrame) -> DataFrame:
@@ -92,10 +95,9 @@ def candidates(docs: DataFrame, probes: DataFrame) -> DataFrame:
     rows = docs.select(*document_key(), "doc_id", "text")
     every = rows.withColumn("w", _words("text")).select("_id", "_hash", F.posexplode(_shingles("w")).alias("at", "s"))
     every = every.select("_id", "_hash", "at", _hash(F.col("s")).alias("shingle"))
-    placed = F.transform("probes", lambda p: F.struct(p["item"].alias("item"), p["length"].alias("length"),
-                                                      p["i"].alias("i"), p["v"].alias("v"), F.col("at").alias("at")))
-    hits = (every.join(_small(probes), "shingle").groupBy("_id", "_hash")
-            .agg(F.flatten(F.collect_list(placed)).alias("hits")))
+    # a set, so that repeated rows gather the hits of one; as many as the text's own places and minima there
+    hits = (every.join(_small(probes, F.lit(PROBE_BYTES)), "shingle").groupBy("_id", "_hash")
+            .agg(F.collect_set(F.struct("item", "length", "i", "v", "at")).alias("hits")))
     known = rows.join(hits, ["_id", "_hash"]).withColumn("w", _words("text")).withColumn("shingles", F.transform(_shingles("w"), _hash))
 
     def least(p: Column, window: Column) -> Column:
@@ -112,7 +114,8 @@ def candidates(docs: DataFrame, probes: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, benchmark: DataFrame, share: float) -> DataFrame:
     items = _items(benchmark)
-    near = (candidates(docs, signatures(items)).join(_small(items.select("item", "item_id", "n", "texts")), "item")
+    held = F.aggregate("texts", F.lit(64).cast("long"), lambda total, t: total + F.octet_length(t) + 16)
+    near = (candidates(docs, signatures(items)).join(_small(items.select("item", "item_id", "n", "texts"), held), "item")
             .withColumn("own", F.transform(_shingles("w"), _text)))
     shared = F.size(F.array_intersect("own", "texts"))
     found = near.select("_id", "_hash", "doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"),
