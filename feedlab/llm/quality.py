@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from feedlab.llm.common import bounded_batches
+from feedlab.llm.common import bounded_batches, stored
 
 #: Names of the statistics, in the order of the vector.
 STATISTICS = ["chars", "words", "word_length", "upper", "digits", "symbols", "stops", "space", "newlines",
@@ -127,18 +127,16 @@ def held_out(doc_id: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, pooling: float = 0.3, ridge: float = 0.05) -> Discriminant:
+def fit(known: DataFrame, labels: DataFrame, pooling: float = 0.3, ridge: float = 0.05) -> Discriminant:
     """Learn from all documents with a label (``doc_id``, ``quality`` 0 or 1) that are not held out.
 
-    Nothing is sampled: sums over all labelled rows are gathered on Spark, and 136 numbers a class
-    reach the driver. Other labels, null labels and labels without a document are left out; a repeated
-    label counts as often as it stands there.
+    ``known`` has doc_id and x, the statistics. Nothing is sampled: sums over all labelled rows are gathered on
+    Spark, and 136 numbers a class reach the driver. Other labels, null labels and labels without a document are left
+    out; a repeated label counts as often as it stands there.
     """
-    bounded_batches(docs.sparkSession)
     wanted = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & ~held_out("id"))
-    known = docs.select(F.col("doc_id").alias("id"), statistics_column("text").alias("x"))
-    rows = known.join(wanted, "id").select("label", "x")
+    rows = known.select(F.col("doc_id").alias("id"), "x").join(wanted, "id").select("label", "x")
     upper = np.triu_indices(len(STATISTICS) + 1)
     cells: dict[int, np.ndarray] = {}
     for r in moments(rows).collect():  # at most two rows
@@ -148,16 +146,22 @@ def fit(docs: DataFrame, labels: DataFrame, pooling: float = 0.3, ridge: float =
     return solve(cells, pooling, ridge)
 
 
-def score(model: Discriminant, text: str = "text") -> F.Column:
-    """Probability of class 1 for the column ``text``, to six decimals."""
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id, x: the statistics of every whole text."""
+    bounded_batches(docs.sparkSession)
+    return docs.select("doc_id", statistics_column("text").alias("x"))
+
+
+def score(model: Discriminant, x: F.Column) -> F.Column:
+    """Probability of class 1 for statistics ``x``, to six decimals."""
 
     @F.pandas_udf(DoubleType())
-    def probability(texts: pd.Series) -> pd.Series:
-        if not len(texts):
+    def probability(rows: pd.Series) -> pd.Series:
+        if not len(rows):
             return pd.Series([], dtype=float)
-        return pd.Series(model.probability(np.array([statistics(t) for t in texts])).round(6))
+        return pd.Series(model.probability(np.stack(rows.to_list())).round(6))
 
-    return probability(F.col(text))
+    return probability(x)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -166,11 +170,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
     Null and empty texts are scored like others (all shares 0); repeated rows are scored each; further
     columns are ignored; no documents give no rows.
     """
-    model = fit(docs, labels)
-    return docs.select("doc_id", held_out("doc_id").alias("held_out"), score(model).alias("score")).withColumn(
+    known = stored(described(docs), "statistics")  # 15 numbers a document, made once for fitting and scoring
+    model = fit(known, labels)
+    return known.select("doc_id", held_out("doc_id").alias("held_out"), score(model, F.col("x")).alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that are predicted good, with all their columns."""
-    return docs.filter(score(fit(docs, labels)) >= threshold)
+    """The rows of ``docs`` that are predicted good, with all their columns.
+
+    Null and empty texts are judged like others. Statistics are made twice, as keeping them would mean to join
+    them with the texts again.
+    """
+    model = fit(described(docs), labels)
+    return docs.filter(score(model, statistics_column("text")) >= threshold)
