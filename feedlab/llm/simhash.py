@@ -18,10 +18,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedlab.llm.common import bounded_batches, partitions, with_keys, without_keys
+from feedlab.llm.common import LOWEST, bounded_batches, partitions, with_keys, without_keys
 from feedlab.storage import checkpointed
 
 #: Fingerprints in a tree at most, and queries that search it together.
@@ -45,26 +44,23 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of every row."""
+    """doc_id, h1, h2, fp of every row: two hashes of the text, 128 bits in all, and its 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), words) for t in batch.column(3)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found)], names=["doc_id", "h1", "h2", "fp"])
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-                       ).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(), text.alias("text")
+                       ).mapInArrow(run, "doc_id long, h1 long, h2 long, fp long")
 
 
-def fingerprint_column(words: int = 3):
-    """A column function: the fingerprint of a text, as a long."""
-
-    @F.pandas_udf(LongType())
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
-
-    return run
+def _text_hashes() -> list[Column]:
+    """h1, h2; a null text is not an empty one."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text.isNull(), text).alias("h1"), F.xxhash64(F.lit("again"), text.isNull(), text).alias("h2")]
 
 
 class BKTree:
@@ -261,14 +257,22 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
 
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """One row of each component with all its columns: the smallest doc_id (null last), then the first text."""
+    """One row of each component with all its columns: the smallest doc_id (null last), of equal ids the text with the
+    lowest hash, of rows alike in both any one.
+
+    Fingerprints are made once; the rows to keep are found again by id and text hash, and rows alike in both are
+    already in one task then, so texts are moved once.
+    """
     rows = checkpointed(fingerprints(docs, words))
-    least = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("least"))
-    first = (groups(rows, radius).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
-             .select(F.col("least.doc_id").alias("_id"), F.col("least.fp").alias("_fp")))
-    own = with_keys(docs, _id=F.col("doc_id").cast("long"), _fp=fingerprint_column(words)(F.col("text").cast("string")),
-                    _text=F.col("text").cast("string"))
-    kept = own.alias("o").join(
-        first.alias("f"), (F.col("o._fp") == F.col("f._fp")) & F.col("o._id").eqNullSafe(F.col("f._id")), "left_semi")
-    place = F.row_number().over(Window.partitionBy("_fp", "_id").orderBy("_text"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    least = rows.groupBy("fp").agg(F.min(own).alias("least"))
+    first = groups(rows, radius).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
+    wanted = first.select(F.coalesce("least.doc_id", F.lit(LOWEST)).alias("_id"), F.col("least.none").alias("_none"),
+                          F.col("least.h1").alias("_h1"), F.col("least.h2").alias("_h2"))
+    h1, h2 = _text_hashes()
+    doc_id = F.col("doc_id").cast("long")
+    keyed = with_keys(docs, _id=F.coalesce(doc_id, F.lit(LOWEST)), _none=doc_id.isNull(), _h1=h1, _h2=h2)
+    keys = ["_id", "_none", "_h1", "_h2"]
+    kept = keyed.join(wanted, keys, "left_semi")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
     return without_keys(kept.withColumn("_place", place).filter("_place = 1"), docs)
