@@ -188,6 +188,23 @@ SELECT start_date, date, count(user_id) AS users FROM first_day JOIN active USIN
 WHERE start_date = DATE '{p.CURVE_AS_OF}' - {p.CURVE_AGE} AND date <= DATE '{p.CURVE_AS_OF}' GROUP BY 1, 2)"""
 
 
+ARRIVALS = query(f"""
+SELECT d.date, count(f.user_id) AS new_users, count(a.user_id) AS returned,
+       {six(ratio('count(a.user_id)', 'count(f.user_id)') + ' * 100')} AS retention_pct
+FROM (SELECT DISTINCT date FROM active) d LEFT JOIN first_day f ON f.start_date = d.date
+LEFT JOIN active a ON a.user_id = f.user_id AND a.date = f.start_date + 1 GROUP BY 1""", FIRST_DAY, ACTIVE)
+REPORTS = query(f"""
+SELECT (SELECT count(*) FROM first_day WHERE start_date = DATE '{p.NEW_USERS_AS_OF}' - 1) AS new_users,
+       cohort_size, returned, (SELECT max(users) FROM curve) AS curve_size,
+       {big('(SELECT sum(users) FROM curve)')} AS curve_visits FROM ({DAY1}) day1""", FIRST_DAY, ACTIVE, CURVE)
+MATRIX = query("SELECT start_date AS first_day, date, count(*) AS users FROM first_day JOIN active USING (user_id) "
+               "GROUP BY 1, 2", FIRST_DAY, ACTIVE)
+WEEKLY_USERS = query("SELECT CAST(date_trunc('week', date) AS DATE) AS week, count(DISTINCT user_id) AS users "
+                     "FROM active GROUP BY 1", ACTIVE)
+SKETCHED = query(f"SELECT {DATE} AS date, count(DISTINCT user_id) AS users, {VIEWS} AS views, {LIKES} AS likes, "
+                 f"{six(ratio(LIKES, VIEWS))} AS ctr FROM feed GROUP BY 1")
+
+
 # --- 15-minute metrics and alerts --------------------------------------------
 
 def quarter_hours(condition: str = "true") -> list[str]:
@@ -344,6 +361,35 @@ SELECT exp_group, CAST({hash15("'bucket:' || CAST(user_id AS VARCHAR)")} % {p.BU
 FROM users GROUP BY 1, 2)"""
 
 
+# XXH64 with seed 0 of eight bytes, step by step in unsigned 128-bit arithmetic.
+_P1, _P2, _P3, _P4, _P5 = (f"{x}::UHUGEINT" for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+_WORD = f"{1 << 64}::UHUGEINT"
+
+
+def _times(x: str, y: str) -> str:
+    return f"(({x}) * {y} % {_WORD})"
+
+
+def _rotated(x: str, bits: int) -> str:
+    return f"((({x}) * {1 << bits}::UHUGEINT) % {_WORD} + ({x}) // {1 << (64 - bits)}::UHUGEINT)"
+
+
+def _folded(x: str, bits: int) -> str:
+    return f"xor({x}, {x} // {1 << bits}::UHUGEINT)"
+
+
+XX_HASHED = [
+    "xx0 AS (SELECT DISTINCT user_id, user_id::UHUGEINT AS x FROM feed WHERE user_id IS NOT NULL)",
+    f"xx1 AS (SELECT user_id, {_times('x', _P2)} AS x FROM xx0)",
+    f"xx2 AS (SELECT user_id, {_times(_rotated('x', 31), _P1)} AS x FROM xx1)",
+    f"xx3 AS (SELECT user_id, xor(({_P5} + 8::UHUGEINT) % {_WORD}, x) AS x FROM xx2)",
+    f"xx4 AS (SELECT user_id, ({_times(_rotated('x', 27), _P1)} + {_P4}) % {_WORD} AS x FROM xx3)",
+    f"xx5 AS (SELECT user_id, {_times(_folded('x', 33), _P2)} AS x FROM xx4)",
+    f"xx6 AS (SELECT user_id, {_times(_folded('x', 29), _P3)} AS x FROM xx5)",
+    f"hashed AS (SELECT user_id, ({_folded('x', 32)})::UBIGINT AS h FROM xx6)"]
+
+
 def mann_whitney(source: str, value: str, pair: tuple[int, int]) -> list[str]:
     """U by comparing every pair; the normal density is integrated from z upwards."""
     return [f"side1 AS (SELECT {value} AS v FROM {source} WHERE exp_group = {pair[0]} AND {value} IS NOT NULL)",
@@ -400,8 +446,9 @@ GROUP BY {shown}bin, bin_start, bin_end"""
 
 # --- resampling --------------------------------------------------------------
 
-def sampling(source: str, groups: tuple[int, ...], n: int, iterations: int, seed: str,
+def sampling(source: str, groups: tuple[int, ...], n: int, iterations: int, seed: str, draws: int,
              value: str = "ctr") -> list[str]:
+    """Of each iteration's draws the first ``n`` different ones; ``draws`` of them hold that many."""
     chunk = f"{hash15("'chunk:' || CAST(user_id AS VARCHAR)")} % 1024"
     key = hash15(f"concat_ws(':', '{seed}', exp_group, iteration, i)")
     return [f"""numbered AS (
@@ -409,19 +456,19 @@ SELECT *, row_number() OVER (PARTITION BY exp_group ORDER BY {chunk}, user_id) -
 FROM {source} WHERE {value} IS NOT NULL AND exp_group IN {groups})""",
             """population AS (SELECT exp_group, count(*) AS size FROM numbered GROUP BY 1)""",
             f"""draws AS (
-SELECT exp_group, iteration, list(struct_pack(i := i, t := {key} % (i + 1)) ORDER BY i) AS steps
-FROM (SELECT exp_group, iteration, unnest(range(size - {n}, size)) AS i
-      FROM population, range({iterations}) r(iteration)) d GROUP BY 1, 2)""",
+SELECT exp_group, iteration, {key} % size AS number, min(i) AS i
+FROM population, range({iterations}) r(iteration), range({draws}) d(i) GROUP BY 1, 2, 3)""",
             f"""samples AS (
 SELECT iteration, exp_group, user_id, {value}
-FROM (SELECT iteration, exp_group, unnest(list_reduce(
-        list_transform(steps, lambda s: [s.t, s.i]),
-        lambda taken, s: taken || CASE WHEN list_contains(taken, s[1]) THEN [s[2]] ELSE [s[1]] END,
-        CAST([] AS BIGINT[]))) AS number FROM draws) c JOIN numbered USING (exp_group, number))"""]
+FROM (SELECT *, row_number() OVER (PARTITION BY exp_group, iteration ORDER BY i) AS place FROM draws) c
+JOIN numbered USING (exp_group, number) WHERE place <= {n})"""]
 
 
-SIMULATION = [AA_USERS, *sampling("users", p.AA_PAIR, p.SAMPLE, p.ITERATIONS, p.AA_SEED),
-              *welch("samples", "ctr", p.AA_PAIR, "iteration")]
+ORDERS = f"""orders_as_users AS (
+SELECT CASE o_orderstatus WHEN 'F' THEN {p.AA_PAIR[0]} WHEN 'O' THEN {p.AA_PAIR[1]} END AS exp_group,
+       o_orderkey AS user_id, CAST(o_totalprice AS DOUBLE) AS price FROM orders)"""
+ORDER_SAMPLES = sampling("orders_as_users", p.AA_PAIR, p.SAMPLE, p.ITERATIONS, p.AA_SEED, 2 * p.SAMPLE, "price")
+SIMULATION = [ORDERS, *ORDER_SAMPLES, *welch("samples", "price", p.AA_PAIR, "iteration")]
 
 
 def poisson_steps() -> list[float]:
@@ -463,6 +510,7 @@ STREAM_SERIES = "series AS (" + " UNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "source_tsv": query(feed_user_day()),
+    "source_tsv_by_name": query(feed_user_day()),
     "partitioned_log": daily(7),
     "sql_user_ctr": query(f"SELECT exp_group, user_id, likes, views, {six('ctr')} AS ctr FROM users", AB_USERS),
     "daily_slices_sink": SLICES,
@@ -499,6 +547,11 @@ ORACLE: dict[str, str] = {
     "retention_curve": query(f"""
 SELECT start_date, date, users, cohort_size, {six(ratio('users', 'cohort_size'))} AS retention_rate
 FROM curve CROSS JOIN (SELECT max(users) AS cohort_size FROM curve) c""", FIRST_DAY, ACTIVE, CURVE),
+    "first_seen_arrivals": ARRIVALS,
+    "first_seen_reports": REPORTS,
+    "cohort_matrix": MATRIX,
+    "weekly_users": WEEKLY_USERS,
+    "sketched_users": SKETCHED,
     "metrics_15min": query(METRICS_15, *quarter_hours()),
     "metrics_15min_closed": query(METRICS_15, *quarter_hours(CLOSED)),
     "iqr_bands": query(BANDS, *quarter_hours(), SERIES, *bands()),
@@ -533,17 +586,21 @@ FROM feed WHERE {DATE} < DATE '{p.AS_OF}' AND {DATE} >= DATE '{p.AS_OF}' - 7 GRO
                                  *welch("linear", "linearized_likes", p.OTHER_PAIR)),
     "bucket_ctr": query(f"SELECT exp_group, bucket, {six('bucket_ctr')} AS bucket_ctr FROM buckets",
                         AB_USERS, BUCKETS),
+    "bucket_ctr_xxhash64": query(f"""
+SELECT exp_group, CAST(h % {p.BUCKETS} AS INTEGER) AS bucket, {six(ratio('sum(likes)', 'sum(views)'))} AS bucket_ctr
+FROM users JOIN hashed USING (user_id) GROUP BY 1, 2""", AB_USERS, *XX_HASHED),
+    "hashed_users": query(f"SELECT user_id, lower(printf('%016x', h)) AS hash, CAST(h % {p.BUCKETS} AS INTEGER) AS bucket "
+                          "FROM hashed", *XX_HASHED),
     "mann_whitney_bucket": query(MANN_WHITNEY, AB_USERS, BUCKETS,
                                  *mann_whitney("buckets", "bucket_ctr", p.AB_PAIR)),
     "mann_whitney_users": query(MANN_WHITNEY, AB_USERS, *mann_whitney("users", "ctr", p.AB_PAIR)),
     "ctr_histogram": query(histogram("users", "ctr", by="exp_group"), AB_USERS),
     "ctr_histogram_by_group": query(histogram("users", "ctr", by="exp_group", common=True), AB_USERS),
     "bucket_histogram": query(histogram("buckets", "bucket_ctr", by="exp_group"), AB_USERS, BUCKETS),
-    "sample_n_per_group": query("SELECT iteration, exp_group, user_id FROM samples",
-                                AA_USERS, *sampling("users", p.AA_PAIR, p.SAMPLE, p.ITERATIONS, p.AA_SEED)),
-    "sample_500_orders": query("SELECT iteration, exp_group, user_id FROM samples", """status AS (
-SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS exp_group, o_orderkey AS user_id, 1 AS ctr FROM orders)""",
-                               *sampling("status", (0, 1), 500, p.ORDER_ITERATIONS, p.AA_SEED)),
+    "sample_n_per_group": query("SELECT iteration, exp_group, user_id FROM samples", AA_USERS, *sampling(
+        "users", p.AA_PAIR, p.SMALL_SAMPLE, p.ITERATIONS, p.AA_SEED, 40 * p.SMALL_SAMPLE)),
+    "sample_500_orders": query(f"SELECT exp_group, user_id, count(*) AS samples, {big('sum(iteration)')} AS iterations "
+                               "FROM samples GROUP BY 1, 2", ORDERS, *ORDER_SAMPLES),
     "aa_simulation": query(f"SELECT iteration, {six('statistic')} AS statistic, {six('pvalue')} AS pvalue "
                            "FROM tested", *SIMULATION),
     "aa_false_positive_rate": query(f"""
@@ -552,6 +609,9 @@ SELECT count(*) AS iterations, count(*) FILTER (pvalue <= 0.05::DOUBLE) AS signi
 FROM tested""", *SIMULATION),
     "pvalue_histogram": query(histogram("tested", "pvalue", bins=p.PVALUE_BINS), *SIMULATION),
     "poisson_bootstrap": query(f"SELECT exp_group, replicate, {six('ctr')} AS ctr FROM bootstrap", *BOOTSTRAP),
+    "poisson_bootstrap_counts": query(f"""
+SELECT exp_group, CAST({p.REPLICATES} AS BIGINT) AS replicates, {six(ratio('sum(likes)', 'sum(views)'))} AS ctr,
+       true AS is_near FROM users GROUP BY 1""", AB_USERS),
     "bootstrap_diff_ci": query(f"""
 SELECT count(difference) AS replicates, {six('avg(difference)')} AS mean, {six('min(difference)')} AS min,
        {six('max(difference)')} AS max, {six('quantile_cont(difference, 0.025)')} AS low,

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType
 
 from feedlab import sources
-from feedlab.catalog import parameters as p
+from feedlab.catalog import parameters as p, state_queries
+from feedlab.catalog.shape import plain_buckets, rounded
+from feedlab.functions import hashing
+from feedlab.functions.ratios import ratio
 from feedlab.operators import (activity, anomaly, cohorts, experiments, histograms, hypothesis,
                                resampling, slices)
 from feedlab.plans import daily_load, reports
@@ -28,19 +30,6 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
     return sources.message_actions(sources.events(spark, folder))
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, so that engines can be compared."""
-    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)}
-    return df.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in df.columns])
-
-
-def plain_buckets(df: DataFrame) -> DataFrame:
-    """Outer-joined buckets for comparison: counts as doubles, the form data frames hold gaps in, and ISO dates."""
-    counts = {"users_feed", "views", "likes", "users_message", "sent_message"}
-    return (df.select(*[F.col(c).cast("double").alias(c) if c in counts else F.col(c) for c in df.columns])
-            .withColumn("date", F.col("date").cast("string")))
-
-
 def _on_feed(make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: rounded(make(_feed(spark, folder)))
 
@@ -61,22 +50,41 @@ def _aa_users(feed: DataFrame) -> DataFrame:
     return experiments.user_ctr(feed, *p.AA_WEEK, list(p.AA_PAIR))
 
 
-def _simulation(feed: DataFrame) -> DataFrame:
-    return resampling.aa_simulation(checkpointed(_aa_users(feed)), p.AA_PAIR, p.SAMPLE, p.ITERATIONS,
-                                    seed=p.AA_SEED, method=p.HASH)
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a population of two groups large enough for samples of 500."""
+    first, second = p.AA_PAIR
+    status = F.when(F.col("o_orderstatus") == "F", first).when(F.col("o_orderstatus") == "O", second)
+    return checkpointed(spark.read.parquet(f"{folder}/orders.parquet").select(
+        status.alias("exp_group"), F.col("o_orderkey").cast("long").alias("user_id"),
+        F.col("o_totalprice").cast("double").alias("price")))
+
+
+def _simulation(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.aa_simulation(_orders(spark, folder), p.AA_PAIR, p.SAMPLE, p.ITERATIONS, "price", p.AA_SEED, p.HASH)
+
+
+def aa_simulation(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_simulation(spark, folder))
+
+
+def aa_false_positive_rate(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(resampling.false_positive_rate(_simulation(spark, folder)))
+
+
+def pvalue_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(resampling.pvalue_histogram(checkpointed(_simulation(spark, folder)), p.PVALUE_BINS))
 
 
 def _sample(feed: DataFrame) -> DataFrame:
     users = checkpointed(_aa_users(feed).filter(F.col("ctr").isNotNull()).select("exp_group", "user_id"))
-    return resampling.sample_per_group(users, p.SAMPLE, p.ITERATIONS, list(p.AA_PAIR), p.AA_SEED, p.HASH)
+    return resampling.sample_per_group(users, p.SMALL_SAMPLE, p.ITERATIONS, list(p.AA_PAIR), p.AA_SEED, p.HASH)
 
 
 def sample_500_orders(spark: SparkSession, folder: str) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1)
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
-        status.alias("exp_group"), F.col("o_orderkey").cast("long").alias("user_id"))
-    return resampling.sample_per_group(checkpointed(orders), resampling.SAMPLE, p.ORDER_ITERATIONS, [0, 1],
-                                       p.AA_SEED, p.HASH)
+    """How often each order is in a sample, and the sum of the iterations it is in: ten million draws in short."""
+    drawn = resampling.sample_per_group(_orders(spark, folder), p.SAMPLE, p.ITERATIONS, list(p.AA_PAIR), p.AA_SEED, p.HASH)
+    return drawn.groupBy("exp_group", "user_id").agg(F.count("iteration").alias("samples"),
+                                                     F.sum("iteration").alias("iterations"))
 
 
 def _bootstrap(feed: DataFrame) -> DataFrame:
@@ -84,6 +92,24 @@ def _bootstrap(feed: DataFrame) -> DataFrame:
                                         seed=p.BOOTSTRAP_SEED, method=p.HASH)
 
 
+def _counted_bootstrap(feed: DataFrame) -> DataFrame:
+    """Replicates per group, and whether their mean is within four standard errors of the group's ratio.
+
+    The expected weight of every user is the same, so the ratio of sums is what the replicates vary around.
+    """
+    users = checkpointed(_ab_users(feed))
+    drawn = resampling.poisson_bootstrap_counts(users, p.AB_PAIR, p.REPLICATES, seed=p.BOOTSTRAP_SEED)
+    whole = users.groupBy("exp_group").agg(ratio(F.sum("likes"), F.sum("views")).alias("whole"))
+    about = drawn.groupBy("exp_group").agg(F.count("ctr").alias("replicates"), F.avg("ctr").alias("mean"),
+                                           F.stddev_samp("ctr").alias("sd"))
+    # a ratio of means of n users is off by the order of its variance: one more standard deviation / sqrt(n)
+    size = users.groupBy("exp_group").agg(F.count("user_id").alias("n"))
+    allowed = 4 * F.col("sd") / F.sqrt("replicates") + F.col("sd") / F.sqrt("n")
+    return (about.join(whole, "exp_group").join(size, "exp_group")
+            .select("exp_group", "replicates", F.round("whole", 6).alias("ctr"),
+                    (F.abs(F.col("mean") - F.col("whole")) <= allowed).alias("is_near")))
+
+
 def _differences(feed: DataFrame) -> DataFrame:
     return resampling.bootstrap_difference(_bootstrap(feed), p.AB_PAIR)
 
@@ -92,6 +118,17 @@ def _bucket_ctr(feed: DataFrame) -> DataFrame:
     return experiments.bucket_ctr(_ab_users(feed), p.BUCKETS, p.HASH)
 
 
+def _native_bucket_ctr(feed: DataFrame) -> DataFrame:
+    return experiments.bucket_ctr(_ab_users(feed), p.BUCKETS)
+
+
+def hashed_users(spark: SparkSession, folder: str) -> DataFrame:
+    """XXH64 with seed 0 of every user id, and the bucket it gives."""
+    users = _feed(spark, folder).select("user_id").filter(F.col("user_id").isNotNull()).distinct()
+    return users.select("user_id", F.lpad(F.lower(F.hex(hashing.xxh64(F.col("user_id")))), 16, "0").alias("hash"),
+                        hashing.bucket(F.col("user_id"), p.BUCKETS).alias("bucket"))
+
+
 # --- sources and sinks -------------------------------------------------------
 
 def source_tsv(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +137,17 @@ def source_tsv(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_tsv(spark, path, schemas.FEED_USER_DAY)
 
 
+def source_tsv_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose columns stand in different orders, with a column the schema does not name."""
+    path = fresh_path(spark, "feed_user_day_by_name")
+    rows = slices.feed_user_day(_feed(spark, folder))
+    early = F.col("event_date") < p.LITERAL_DAY
+    files.write_tsv(rows.filter(early).select("likes", "age", F.lit("x").alias("extra"), "user_id", "os", "event_date",
+                                              "views", "gender"), f"{path}/a")
+    files.write_tsv(rows.filter(~early).select("event_date", "views", "likes", "os", "gender", "age", "user_id"), f"{path}/b")
+    return sources.read_tsv(spark, f"{path}/*", schemas.FEED_USER_DAY)
+
+
 def partitioned_log(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "feed_log")
     tables.write_log(_feed(spark, folder), path)
@@ -176,11 +224,11 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     messages = sources.message_actions(sources.stream_events(spark, folder))
     sides = {"feed": (buckets.feed_buckets(feed), ["users_feed", "views", "likes", "ctr"]),
              "messages": (buckets.message_buckets(messages), ["users_message"])}
-    running = [jobs.start(stream, jobs.alert_batches(metrics, f"{path}/{side}"), f"{path}/{side}/state")
+    running = [jobs.write_alerts(jobs.alerts(stream, metrics), f"{path}/{side}/alerts", f"{path}/{side}/state")
                for side, (stream, metrics) in sides.items()]
     for query in running:
         query.awaitTermination()
-    found = [jobs.read_alerts(spark, f"{path}/{side}") for side in sides]
+    found = [jobs.read_alerts(spark, f"{path}/{side}/alerts") for side in sides]
     return rounded(found[0].unionByName(found[1]).select("metric", "ts", "value", "up", "low", "is_alert"))
 
 
@@ -188,13 +236,14 @@ def stream_daily_slices(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "stream_slices")
     feed = sources.feed_actions(sources.stream_events(spark, folder))
     messages = sources.message_actions(sources.stream_events(spark, folder))
-    jobs.start_slices(feed, messages, f"{path}/logs", f"{path}/slices", f"{path}/state").awaitTermination()
+    jobs.start_slices(feed, messages, f"{path}/partials", f"{path}/slices", f"{path}/state").awaitTermination()
     return tables.read_slices(spark, f"{path}/slices")
 
 
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "source_tsv": source_tsv,
+    "source_tsv_by_name": source_tsv_by_name,
     "partitioned_log": partitioned_log,
     "sql_user_ctr": sql_user_ctr,
     "daily_slices_sink": daily_slices_sink,
@@ -236,6 +285,8 @@ QUERIES: dict[str, Query] = {
     "user_active_days": _on_feed(cohorts.user_active_days),
     "retention_day1": _on_feed(lambda feed: cohorts.retention_day1(feed, p.RETENTION_AS_OF)),
     "retention_curve": _on_feed(lambda feed: cohorts.retention_curve(feed, p.CURVE_AS_OF, p.CURVE_AGE)),
+    # state kept between runs
+    **state_queries.QUERIES,
     # 15-minute metrics and alerts
     "metrics_15min": _on_both(lambda feed, messages: plain_buckets(activity.metrics_15min(feed, messages))),
     "metrics_15min_closed": _on_both(
@@ -270,6 +321,8 @@ QUERIES: dict[str, Query] = {
     "welch_linearized_03": _on_feed(
         lambda feed: hypothesis.welch_linearized(_ab_users(feed, p.OTHER_PAIR), *p.OTHER_PAIR)),
     "bucket_ctr": _on_feed(_bucket_ctr),
+    "bucket_ctr_xxhash64": _on_feed(_native_bucket_ctr),
+    "hashed_users": hashed_users,
     "mann_whitney_bucket": _on_feed(
         lambda feed: hypothesis.mann_whitney(_bucket_ctr(feed), "bucket_ctr", p.AB_PAIR)),
     "mann_whitney_users": _on_feed(lambda feed: hypothesis.mann_whitney(_ab_users(feed), "ctr", p.AB_PAIR)),
@@ -282,11 +335,11 @@ QUERIES: dict[str, Query] = {
     # resampling
     "sample_n_per_group": _on_feed(_sample),
     "sample_500_orders": sample_500_orders,
-    "aa_simulation": _on_feed(_simulation),
-    "aa_false_positive_rate": _on_feed(lambda feed: resampling.false_positive_rate(_simulation(feed))),
-    "pvalue_histogram": _on_feed(
-        lambda feed: resampling.pvalue_histogram(checkpointed(_simulation(feed)), p.PVALUE_BINS)),
+    "aa_simulation": aa_simulation,
+    "aa_false_positive_rate": aa_false_positive_rate,
+    "pvalue_histogram": pvalue_histogram,
     "poisson_bootstrap": _on_feed(_bootstrap),
+    "poisson_bootstrap_counts": _on_feed(_counted_bootstrap),
     "bootstrap_diff_ci": _on_feed(lambda feed: resampling.difference_interval(_differences(feed))),
     "bootstrap_histogram": _on_feed(
         lambda feed: histograms.histogram(checkpointed(_bootstrap(feed)), "ctr", by="exp_group", members=p.AB_PAIR)),

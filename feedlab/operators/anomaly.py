@@ -63,15 +63,40 @@ def iqr_bands(series: DataFrame, a: float = FACTOR, n: int = WINDOW, smooth: boo
     return bands
 
 
+def _is_alert() -> Column:
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("up"))
+    return F.coalesce(outside, F.lit(False)).cast("int")
+
+
 def flagged(bands: DataFrame) -> DataFrame:
     """Add ``is_alert`` and the deviation from the row before."""
-    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("up"))
     return (bands
-            .withColumn("is_alert", F.coalesce(outside, F.lit(False)).cast("int"))
+            .withColumn("is_alert", _is_alert())
             .withColumn("previous", F.lag("value").over(_ordered()))
             .withColumn("deviation", F.abs(1 - ratio("value", "previous"))))
 
 
+def _quartile_of(values: Column, q: float, n: int) -> Column:
+    """Interpolated quantile of an array, NULL unless it has ``n`` values."""
+    ordered = F.array_sort(values)
+    place = q * (n - 1)
+    low, high = int(place), min(int(place) + 1, n - 1)
+    between = F.get(ordered, F.lit(low)) * (low + 1 - place) + F.get(ordered, F.lit(high)) * (place - low)
+    return F.when(F.size(F.filter(values, lambda v: v.isNotNull())) == n, between)
+
+
+def judged(seen: DataFrame, a: float = FACTOR, n: int = WINDOW) -> DataFrame:
+    """Bands and flags as ``flagged`` gives them, for rows that carry the values ``before`` them, oldest first."""
+    before = F.col("before")
+    bands = (seen.withColumn("previous", F.element_at(F.when(F.size(before) > 0, before), -1))
+             .withColumn("q25", _quartile_of(before, 0.25, n)).withColumn("q75", _quartile_of(before, 0.75, n))
+             .withColumn("iqr", F.col("q75") - F.col("q25"))
+             .withColumn("up", F.col("q75") + a * F.col("iqr"))
+             .withColumn("low", F.col("q25") - a * F.col("iqr")).drop("before"))
+    return (bands.withColumn("is_alert", _is_alert())
+            .withColumn("deviation", F.abs(1 - ratio("value", "previous"))))
+
+
 def latest(rows: DataFrame) -> DataFrame:
     """Last row of every metric."""
     return (rows.withColumn("_next", F.lead("ts").over(_ordered()))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedlab.functions.ratios import ratio
 from feedlab.functions.tails import normal_pvalue, student_t_pvalue
+from feedlab.operators.quantiles import parted
 
 SIDES = ("1", "2")
 
@@ -87,13 +88,13 @@ def mann_whitney(samples: DataFrame, value: str, pair: tuple[int, int], group: s
     """Two-sided Mann-Whitney U, normal approximation with tie and continuity correction.
 
     Works on counts per distinct value. The running count of the second group is
-    taken inside value ranges; per-range totals then carry it across ranges, so
-    no task sees more than one range and every row is read once.
+    taken inside value ranges (``quantiles.parted``); per-range totals then carry it
+    across ranges, so no task sees more than one range.
     """
     first, second = (F.count_if(F.col(group) == member) for member in pair)
     counts = (samples.filter(F.col(group).isin(list(pair)) & F.col(value).isNotNull())
               .groupBy(value).agg(first.cast("double").alias("a"), second.cast("double").alias("b")))
-    ranges = counts.repartitionByRange(value).withColumn("part", F.spark_partition_id())
+    ranges = parted(counts, value)
     inside = Window.partitionBy("part").orderBy(value)
     below = F.sum("b").over(inside) - F.col("b")
     tied = F.col("a") + F.col("b")

@@ -4,7 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedlab.storage import checkpointed
+from feedlab.storage import spread
+
+
+def parted(values: DataFrame, x: str) -> DataFrame:
+    """``values`` with ``part``, the number of the range of ``x`` a row lies in.
+
+    The ranges are cut at approximate quantiles of ``x`` over the rows, from one mergeable summary that enters the
+    plan as a scalar subquery. So the part is a function of the value, the same however often a task runs, and no
+    range holds many more rows than another. ``values`` is in the plan twice; its shuffle is shared.
+    """
+    count = spread(values.sparkSession)
+    probs = [k / count for k in range(1, count)] or [0.5]
+    cuts = values.agg(F.percentile_approx(F.col(x).cast("double"), probs, 10 * count + 1000).alias("cuts")).scalar()
+    stride = max(int(len(probs) ** 0.5), 1)
+    at = F.col(x).cast("double")
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda cut: cut < at))
+
+    # first among every stride-th cut, then among those up to the next such cut
+    coarse = F.transform(F.sequence(F.lit(stride), F.lit(max(len(probs), stride)), F.lit(stride)),
+                         lambda k: F.get("_cuts", k - 1))
+    found = (values.withColumn("_cuts", cuts)
+             .withColumn("_block", below(F.filter(coarse, lambda cut: cut.isNotNull())) * stride))
+    return (found.withColumn("part", F.col("_block") + below(F.slice(F.col("_cuts"), F.col("_block") + 1, F.lit(stride))))
+            .drop("_cuts", "_block"))
 
 
 def grouped(rows: DataFrame, by: str | None, members: list | None) -> tuple[DataFrame, list[str]]:
@@ -29,15 +54,11 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ranged_counts(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """Rows per distinct value, spread over tasks by ranges of the value.
-
-    ``part`` numbers the ranges. The frame is stored, because which value lies
-    in which part is settled only when it is computed.
-    """
+    """Rows per distinct value, with the value range (``part``) each lies in."""
     counts = (rows.filter(F.col(value).isNotNull())
               .groupBy(*keys, F.col(value).cast("double").alias("x"))
               .agg(F.count(F.lit(1)).alias("rows")))
-    return checkpointed(counts.repartitionByRange(*keys, "x").withColumn("part", F.spark_partition_id()))
+    return parted(counts, "x")
 
 
 def exact_quantiles(rows: DataFrame, value: str, probs: list[float], by: str | None = None,
@@ -45,8 +66,8 @@ def exact_quantiles(rows: DataFrame, value: str, probs: list[float], by: str | N
     """Linearly interpolated quantiles, one row per group and probability.
 
     The value ranges are counted first, which tells the range that holds each
-    wanted rank; only those ranges are ordered, one per task. ``rows`` is read
-    once, at the call.
+    wanted rank; only those ranges are ordered, one per task. Nothing runs at the
+    call; the counts are in the plan more than once and their shuffle is shared.
     """
     rows, keys = grouped(rows, by, members)
     counts = ranged_counts(rows, value, keys)

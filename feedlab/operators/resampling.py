@@ -6,6 +6,10 @@ another partitioning gives the same samples.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedlab.functions import hashing
@@ -44,21 +48,30 @@ def numbered(users: DataFrame, method: str = "xxhash64", chunks: int = CHUNKS) -
     return ranked, sizes.groupBy("exp_group").agg(F.sum("size").alias("population"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _drawn(n: int, seed: int | str, method: str) -> Column:
-    """``n`` different numbers below ``population`` for one iteration and group, by Floyd's rule.
+    """``n`` different numbers below ``population`` for one iteration and group: the first ``n`` different ones of
+    an endless sequence of draws, which makes every set of ``n`` equally likely.
 
-    For j from population - n up to population - 1 take a number drawn from 0 … j, or j
-    itself if that one is taken already: exactly ``n`` steps, and every set of ``n`` is
-    equally likely, whatever the population. The caller raises for a smaller one.
+    The sequence is a hash of its place, so it can be looked up to any length. A quarter more draws than ``n`` are
+    enough for a population beyond 4 n; smaller ones look further, up to where a shortfall has a chance below
+    1e-20 for a population of exactly ``n``. The caller raises for a smaller one.
     """
-    population = F.col("population")
+    def sequence(length: int) -> Column:
+        number = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: hashing.hash_long(
+            F.lit(seed), F.col("exp_group"), F.col("iteration"), i, method=method) % F.col("population"))
+        return F.array_distinct(number)
 
-    def step(taken: Column, j: Column) -> Column:
-        drawn = hashing.hash_long(F.lit(seed), F.col("exp_group"), F.col("iteration"), j, method=method) % (j + 1)
-        return F.array_append(taken, F.when(F.array_contains(taken, drawn), j).otherwise(drawn))
+    def first(length: int, otherwise: Column) -> Column:
+        return _let(sequence(length), lambda d: F.when(F.size(d) >= n, F.slice(d, 1, n)).otherwise(otherwise))
 
-    steps = F.when(population >= n, F.sequence(population - n, population - 1)) if n else F.array().cast("array<bigint>")
-    return F.aggregate(steps, F.array().cast("array<bigint>"), step)
+    none = F.raise_error(F.lit(f"fewer than {n} different draws")).cast("array<bigint>")
+    found = first(n + n // 4 + 60, first(5 * n + 100, first(64 * n + 2000, none)))
+    return F.when(F.col("population") >= n, found)
 
 
 def sample_per_group(users: DataFrame, n: int, iterations: int, groups: list[int],
@@ -131,6 +144,41 @@ def poisson_bootstrap(users: DataFrame, pair: tuple[int, int], replicates: int =
                        F.sum(F.col("weight") * F.col(denominator))).alias("ctr")))
 
 
+def poisson_bootstrap_counts(users: DataFrame, pair: tuple[int, int], replicates: int = REPLICATES,
+                             numerator: str = "likes", denominator: str = "views", seed: int | str = 0) -> DataFrame:
+    """The same ratios by the sum of Poisson draws, at a cost that follows the different users, not all of them.
+
+    Users alike in both counts are one row with their number c, and c Poisson(1) weights add up to one Poisson(c)
+    draw. A row's draws for all replicates come from a generator keyed by the row itself, so neither partitions
+    nor lost tasks change them. Other draws than ``poisson_bootstrap``, of the same distribution.
+    """
+    session = users.sparkSession
+    counted = (users.filter(F.col("exp_group").isin(list(pair)))
+               .groupBy("exp_group", F.col(numerator).cast("double").alias("top"),
+                        F.col(denominator).cast("double").alias("bottom"))
+               .agg(F.count(F.lit(1)).alias("users")).na.fill(0.0, ["top", "bottom"]))
+    own = [F.lit(str(seed)), F.col("exp_group"), F.col("top"), F.col("bottom")]
+    keyed = counted.select("exp_group", "top", "bottom", "users", F.xxhash64(*own).alias("key1"),
+                           F.xxhash64(F.lit("second"), *own).alias("key2"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for group, top, bottom, count, *key in zip(*[c.to_pylist() for c in batch.columns]):
+                generator = np.random.Generator(np.random.Philox(key=[k % (1 << 64) for k in key]))
+                weight = generator.poisson(count, replicates)
+                sums.setdefault(group, np.zeros((2, replicates)))
+                sums[group] += weight * np.array([[top], [bottom]])
+        for group, (top, bottom) in sums.items():
+            yield pa.RecordBatch.from_pydict({
+                "exp_group": pa.array([group] * replicates, pa.int32()), "replicate": pa.array(range(replicates), pa.int32()),
+                "top": pa.array(top), "bottom": pa.array(bottom)})
+
+    spread_out = keyed.repartition(spread(session), "key1")
+    return (spread_out.mapInArrow(draw, "exp_group int, replicate int, top double, bottom double")
+            .groupBy("exp_group", "replicate").agg(ratio(F.sum("top"), F.sum("bottom")).alias("ctr")))
+
+
 def bootstrap_difference(bootstrap: DataFrame, pair: tuple[int, int], value: str = "ctr") -> DataFrame:
     """Second group minus first, per replicate."""
     first, second = (F.max(F.when(F.col("exp_group") == g, F.col(value))) for g in pair)

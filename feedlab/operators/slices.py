@@ -87,6 +87,75 @@ def message_user_day_literal(messages: DataFrame, on: dt.date | str) -> DataFram
             .select(*USER_DAY, "messages_sent", "messages_received", "users_sent", "users_received"))
 
 
+def contributions(feed: DataFrame, messages: DataFrame) -> DataFrame:
+    """What each row of the two logs adds to a user's day; a message adds to both of its users.
+
+    ``kind`` is feed, sent or received. A received message has no demographics, as they are the sender's.
+    """
+    none, nobody = F.lit(0).cast("long"), F.lit(None).cast("long")
+
+    def one(when: Column) -> Column:
+        return F.when(when, 1).otherwise(0).cast("long")
+
+    seen = _on(feed, None).select(
+        *USER_DAY, F.lit("feed").alias("kind"), nobody.alias("other"), one(is_action("view")).alias("views"),
+        one(is_action("like")).alias("likes"), none.alias("messages"))
+    both = _both_roles(_on(messages, None))
+    talked = both.select(
+        F.col("who").alias("user_id"), "event_date", *DEMOGRAPHICS,
+        F.when(F.col("is_sent"), "sent").otherwise("received").alias("kind"), F.col("other").cast("long").alias("other"),
+        none.alias("views"), none.alias("likes"), one(F.col("other").isNotNull()).alias("messages"))
+    return seen.unionByName(talked)
+
+
+ADDED = ["views", "likes", "messages"]
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """Contributions added up per user, day, demographics, kind and counterparty: again contributions.
+
+    Sums and pairs can be merged any number of times and in any order, so they may be kept and added to.
+    """
+    return rows.groupBy(*USER_DAY, "kind", "other").agg(*[F.sum(c).alias(c) for c in ADDED])
+
+
+#: Which of (has feed rows, has sent messages) each kind of join keeps.
+KEPT = {"inner": ("feed", "sent"), "left": ("feed",), "right": ("sent",), "full": ()}
+
+
+def user_day(pairs: DataFrame, how: str = "inner") -> DataFrame:
+    """Feed and messenger statistics of every user, day and demographics, from ``merged`` contributions.
+
+    Equal to joining ``feed_user_day`` with ``message_user_day``, without a join: all three kinds of a user's
+    day are brought to one task, after their counterparties are counted, so what is moved is at most a row a kind
+    and demographics of a user's day. Rows with a NULL key match nothing, as in a join.
+    """
+    counted = pairs.groupBy(*USER_DAY, "kind").agg(
+        *[F.sum(c).alias(c) for c in ADDED], F.count("other").alias("users"))
+    same_user = Window.partitionBy("user_id", "event_date")
+
+    def received(counter: str) -> Column:
+        mine = F.when(F.col("kind") == "received", F.col(counter))
+        return F.coalesce(F.max(mine).over(same_user), F.lit(0)).alias(f"{counter}_received")
+
+    alone = F.col("user_id").isNull() | F.col("event_date").isNull()
+    for d in DEMOGRAPHICS:
+        alone = alone | F.col(d).isNull()
+    rows = (counted.select("*", received("messages"), received("users")).filter("kind != 'received'")
+            .withColumn("side", F.when(alone, F.col("kind"))))
+
+    def of(kind: str, column: str, name: str | None = None) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(column))), F.lit(0)).alias(name or column)
+
+    both = rows.groupBy(*USER_DAY, "side").agg(
+        of("feed", "views"), of("feed", "likes"), of("sent", "messages", "messages_sent"),
+        of("sent", "messages_received"), of("sent", "users", "users_sent"), of("sent", "users_received"),
+        *[F.count_if(F.col("kind") == k).alias(f"has_{k}") for k in ("feed", "sent")])
+    for kind in KEPT[how]:
+        both = both.filter(F.col(f"has_{kind}") > 0)
+    return both.select(*USER_DAY, "views", "likes", "messages_sent", "messages_received", "users_sent", "users_received")
+
+
 def join_user_day(feed_stats: DataFrame, message_stats: DataFrame, how: str = "inner") -> DataFrame:
     """Feed and messenger statistics of the same user, day and demographics."""
     return feed_stats.join(message_stats, USER_DAY, how).na.fill(0, COUNTERS)

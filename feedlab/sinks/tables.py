@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedlab.functions.clock import PARTITION, day
 from feedlab.sources import schemas
+from feedlab.storage import checkpointed
 
 
 def write_slices(slices: DataFrame, path: str) -> None:
@@ -38,13 +39,18 @@ def write_slices_table(slices: DataFrame, name: str) -> None:
 
     An insert into a table heeds the session's overwrite mode alone, and its default
     drops every other day. So the days are replaced at the table's location, where
-    the option counts, and their partitions are added to the catalog.
+    the option counts, and their partitions are added to the catalog: those of the days
+    written, so no other day of the table is listed.
     """
     spark = slices.sparkSession
     described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
     location = described.filter(F.col("col_name") == "Location").first()["data_type"]
-    write_slices(slices.select(*spark.table(name).columns), location)
-    spark.catalog.recoverPartitions(name)
+    rows = checkpointed(slices.select(*spark.table(name).columns))  # a few rows a day
+    days = [r[PARTITION] for r in rows.select(PARTITION).distinct().collect()]  # the days written
+    write_slices(rows, location)
+    if days:
+        added = " ".join(f"PARTITION ({PARTITION} = DATE '{d}')" for d in days)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {added}", args={"name": name})
     spark.catalog.refreshTable(name)
 
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlab.operators import anomaly, slices
 from feedlab.sinks.tables import write_slices
+from feedlab.state import partial_slices
+from feedlab.streaming.recent import RECENT, Recent
 
-SERIES = "metric STRING, ts TIMESTAMP_NTZ, value DOUBLE"
-ALERTS = ("metric STRING, ts TIMESTAMP_NTZ, value DOUBLE, q25 DOUBLE, q75 DOUBLE, iqr DOUBLE, "
-          "up DOUBLE, low DOUBLE, is_alert INT, previous DOUBLE, deviation DOUBLE")
+ALERTS = ("metric STRING, ts TIMESTAMP_NTZ, value DOUBLE, previous DOUBLE, q25 DOUBLE, q75 DOUBLE, iqr DOUBLE, "
+          "up DOUBLE, low DOUBLE, is_alert INT, deviation DOUBLE")
 
 
 def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
@@ -30,47 +31,26 @@ def write_buckets(buckets: DataFrame, path: str, checkpoint: str, every: str | N
             .option("checkpointLocation", checkpoint).trigger(**trigger).start(path))
 
 
-def _replace_batch(rows: DataFrame, path: str, batch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def alerts(closed: DataFrame, metrics: list[str], a: float = anomaly.FACTOR, n: int = anomaly.WINDOW) -> DataFrame:
+    """Bands and flags of every closed bucket, as a stream.
 
-
-def _of_batch(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
-    """What one batch wrote; nothing before the first batch."""
-    if batch < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch={batch}")
-
-
-def alert_batches(metrics: list[str], path: str, a: float = anomaly.FACTOR,
-                  n: int = anomaly.WINDOW) -> Callable[[DataFrame, int], None]:
-    """Bands and flags for newly closed buckets, from them and the ``n`` before.
-
-    Every batch writes its buckets to ``path/series``, its results to
-    ``path/alerts`` and the last ``n`` buckets of each metric to ``path/tail``,
-    which is all the next batch reads. Each metric is its own series here:
-    buckets without events of its log are not in it.
+    Each metric is its own series here: buckets without events of its log are not in it. The state of a metric is
+    a ring of its last ``n`` values, so it does not grow.
     """
-    def each(closed: DataFrame, batch: int) -> None:
-        spark = closed.sparkSession
-        fresh = anomaly.long_series(closed, metrics).select("metric", "ts", "value")
-        _replace_batch(fresh, f"{path}/series", batch)
-        new = _of_batch(spark, f"{path}/series", SERIES, batch)
-        tail = _of_batch(spark, f"{path}/tail", SERIES, batch - 1)
-        both = (new.withColumn("is_new", F.lit(True))
-                .unionByName(tail.withColumn("is_new", F.lit(False))))
-        rows = anomaly.flagged(anomaly.iqr_bands(both, a, n)).filter("is_new").drop("is_new")
-        _replace_batch(rows, f"{path}/alerts", batch)
-        newest = Window.partitionBy("metric").orderBy(F.desc("ts"))
-        last = (both.drop("is_new").withColumn("_n", F.row_number().over(newest))
-                .filter(F.col("_n") <= n).drop("_n"))
-        _replace_batch(last, f"{path}/tail", batch)
+    series = anomaly.long_series(closed, metrics).select("metric", "ts", "value")
+    seen = series.groupBy("metric").transformWithStateInPandas(
+        Recent(n), outputStructType=RECENT, outputMode="Append", timeMode="None")
+    return anomaly.judged(seen, a, n)
 
-    return each
+
+def write_alerts(found: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Alerts to Parquet; the file sink commits each batch exactly once, also after a restart."""
+    return write_buckets(found, path, checkpoint, every)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """Everything ``alert_batches`` has written."""
-    return spark.read.schema(f"{ALERTS}, batch BIGINT").parquet(f"{path}/alerts")
+    """Everything ``write_alerts`` has written."""
+    return spark.read.schema(ALERTS).parquet(path)
 
 
 def slice_batches(messages: DataFrame, feed_path: str, path: str) -> Callable[[DataFrame, int], None]:
@@ -105,31 +85,21 @@ def start_slices(feed: DataFrame, messages: DataFrame, store: str, path: str, ch
                  every: str | None = None) -> StreamingQuery:
     """Daily slices from two streams, in whichever order their rows come.
 
-    Every batch adds the rows of both logs to ``store``, by log and day, and slices the
-    days that either log touches again from all their rows, read afresh. A repeated
-    batch replaces its own folders. The driver holds one date for each touched day.
+    ``store`` keeps partial sums of every user's day (``state.partial_slices``). A batch adds its rows to those of
+    the days it touches and slices these days again from the sums, so the cost of a batch follows its own rows
+    and the users and pairs of its days, not the rows that came before. A repeated batch changes nothing.
     """
-    columns = {"feed": feed.columns, "messages": messages.columns}
-    tagged = [log.filter(F.col("time").isNotNull()).withColumn("log", F.lit(name))
-              for name, log in (("feed", feed), ("messages", messages))]
-    both = (tagged[0].unionByName(tagged[1], allowMissingColumns=True)
-            .withColumn("event_date", F.to_date("time")))
+    logs = [log.filter(F.col("time").isNotNull()) for log in (feed, messages)]
+    partial_slices.create(feed.sparkSession, store)
 
     def each(rows: DataFrame, batch: int) -> None:
-        rows = rows.withColumn("batch", F.lit(batch).cast("long")).persist()
-        days = [r.event_date for r in rows.select("event_date").distinct().collect()]
-        if days:
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("log", "event_date", "batch").parquet(store))
-            stored = rows.sparkSession.read.schema(_ddl(rows)).parquet(store).filter(F.col("event_date").isin(days))
-            sides = {name: stored.filter(F.col("log") == name).select(*own, "event_date")
-                     for name, own in columns.items()}
-            joined = slices.join_user_day(slices.feed_user_day(sides["feed"]),
-                                          slices.message_user_day(sides["messages"]))
-            write_slices(slices.daily_slices(joined), path)
+        rows = rows.persist()
+        if not rows.isEmpty():
+            touched = partial_slices.merge(rows, store, batch)
+            write_slices(slices.daily_slices(slices.user_day(touched)), path)
         rows.unpersist()
 
-    return start(both, each, checkpoint, every)
+    return start(slices.contributions(*logs), each, checkpoint, every)
 
 
 def _ddl(frame: DataFrame) -> str:
