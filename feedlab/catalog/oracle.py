@@ -562,6 +562,7 @@ SELECT ts, metric, {BAND_COLUMNS}, is_alert, {six('previous')} AS previous, {six
 FROM flagged WHERE newest = 1""", *quarter_hours(CLOSED), SERIES, *bands(), FLAGGED),
     "report_daily_text": DAILY_TEXT,
     "report_app_text": APP_TEXT,
+    "report_app_text_stored": APP_TEXT,
     "alert_text": ALERT_TEXT,
     "weekly_chart": labelled("%m/%d/%Y", "date", "dau, views, likes, ctr", f"""
 SELECT {DATE} AS date, count(DISTINCT user_id) AS dau, {VIEWS} AS views, {LIKES} AS likes,

@@ -10,6 +10,7 @@ from feedlab import sources
 from feedlab.catalog import parameters as p
 from feedlab.catalog.shape import rounded
 from feedlab.functions import clock
+from feedlab.plans import daily_state, reports
 from feedlab.sinks import tables
 from feedlab.sources import schemas
 from feedlab.state import bitmaps, first_seen, sketches
@@ -78,10 +79,21 @@ def sketched_users(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(daily.withColumnRenamed("period", "date"))
 
 
+def report_app_text_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The report's message after daily runs over an empty state, the last one twice."""
+    log, root = _log(spark, folder), fresh_path(spark, "daily_state")
+    messages = sources.message_actions(sources.events(spark, folder))
+    daily_state.create(spark, root)
+    for back in (1, 0, 0):
+        daily_state.add_day(log, messages, clock.days_before(p.RETENTION_AS_OF, back), root)
+    return reports.app_message(daily_state.arrivals(spark, root, p.RETENTION_AS_OF))
+
+
 QUERIES = {
     "first_seen_arrivals": first_seen_arrivals,
     "first_seen_reports": first_seen_reports,
     "cohort_matrix": cohort_matrix,
     "weekly_users": weekly_users,
     "sketched_users": sketched_users,
+    "report_app_text_stored": report_app_text_stored,
 }

@@ -30,7 +30,12 @@ def daily_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 def app_text(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row: the message with yesterday's new users and first-day retention."""
-    return cohorts.arrivals(feed, as_of).select(F.format_string(
+    return app_message(cohorts.arrivals(feed, as_of))
+
+
+def app_message(arrivals: DataFrame) -> DataFrame:
+    """The message from new_users and retention_pct, of the log (``cohorts``) or of stored state (``daily_state``)."""
+    return arrivals.select(F.format_string(
         APP_TEXT, "new_users",
         F.coalesce(text.two_decimals(F.col("retention_pct")), F.lit("nan"))).alias("message"))
 

@@ -124,6 +124,12 @@ def new_users(table: DataFrame, as_of: dt.date | str) -> DataFrame:
     return table.filter(cohort).agg(users.alias("new_users"))
 
 
+def cohort_size(table: DataFrame, on: dt.date) -> DataFrame:
+    """Number of users whose first day is ``on``; one folder is opened."""
+    cohort, users = _counted(on)
+    return table.filter(cohort).agg(users.alias("cohort_size"))
+
+
 def retention_day1(table: DataFrame, log: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Share of users first seen two days before ``as_of`` who came back the next day; one folder of each."""
     start, back = (clock.days_before(as_of, n) for n in (2, 1))
