@@ -27,6 +27,9 @@ GRAMS = (1, 2, 3, 4)
 #: Texts of each language whose vectors are clustered, at most: those with the smallest hashes.
 SAMPLE = 400
 
+#: Languages that are learned, at most: those with the most texts in the sample.
+LANGUAGES = 1000
+
 #: Centroids of a language, and rounds of clustering.
 CLUSTERS = 4
 ROUNDS = 8
@@ -179,16 +182,31 @@ def sampled(known: DataFrame, size: int) -> DataFrame:
     def smallest(rows: DataFrame) -> DataFrame:
         return rows.withColumn("place", place).filter(F.col("place") <= size)  # each task keeps that many a language
 
-    limits = smallest(keyed.select("lang", "key")).groupBy("lang").agg(F.max("key").alias("limit"))
+    limits = (smallest(keyed.select("lang", "key")).groupBy("lang").agg(F.max("key").alias("limit"), F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     few = keyed.join(F.broadcast(limits), "lang").filter(F.col("key") <= F.col("limit"))  # a row a language
     return smallest(few).select("lang", "text")
 
 
+def counted(texts: DataFrame) -> DataFrame:
+    """lang, used, number: the cells of each text and their counts, a few hundred kilobytes however long it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [counts(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([u for u, _ in found], pa.list_(pa.int32())),
+                 pa.array([n for _, n in found], pa.list_(pa.int64()))], names=["lang", "used", "number"])
+
+    return texts.select("lang", "text").mapInArrow(run, "lang string, used array<int>, number array<bigint>")
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from the rows with a language that are not held out and have a letter; None if there are none.
 
     Document frequencies come from all of them, centroids from ``sample`` texts of each language at most
-    (all of a language with fewer). Each language is clustered by itself; only centroids reach the driver.
+    (all of a language with fewer, 1,000 at most), for ``LANGUAGES`` languages. Each language is clustered by itself,
+    from cells and counts, not texts; only centroids reach the driver.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -201,13 +219,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     def centroids(texts: pd.DataFrame) -> pd.DataFrame:
         x = np.zeros((len(texts), CELLS), np.float32)
-        for k, text in enumerate(texts["text"]):
-            used, number = counts(text)
-            x[k, used] = unit(used, number, idf)
+        for k, (used, number) in enumerate(zip(texts["used"], texts["number"])):
+            x[k, used] = unit(np.asarray(used), np.asarray(number), idf)
         centers, least = clustered(x[np.lexsort(x[:, :64].T)])  # in an order of their own, whatever the partitions
         return pd.DataFrame({"lang": texts["lang"].iloc[0], "center": list(centers.astype(float)), "least": least})
 
-    held = (sampled(known, min(sample, 1000)).groupBy("lang")
+    held = (counted(sampled(known, min(sample, 1000))).groupBy("lang")
             .applyInPandas(centroids, "lang string, center array<float>, least double").collect())  # a few a language
     held.sort(key=lambda r: (r["lang"], r["least"], r["center"]))
     languages = sorted({r["lang"] for r in held})
