@@ -68,14 +68,14 @@ def range_bounds(ids: DataFrame, count: int) -> list[int]:
 
 
 def range_of(bounds: list[int]) -> Column:
-    """How many bounds are at or below the id, found by halving the list."""
-    def pick(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("_id") < bounds[middle], pick(low, middle)).otherwise(pick(middle + 1, high))
-
-    return pick(0, len(bounds))
+    """How many bounds are at or below the id: first among every stride-th, then among those up to the next."""
+    if not bounds:
+        return F.lit(0)
+    stride = max(int(len(bounds) ** 0.5), 1)
+    every = F.array(*[F.lit(b) for b in bounds[stride - 1::stride]])
+    block = F.size(F.filter(every, lambda b: b <= F.col("_id"))) * stride
+    rest = F.slice(F.array(*[F.lit(b) for b in bounds]), block + 1, F.lit(stride))
+    return (block + F.size(F.filter(rest, lambda b: b <= F.col("_id")))).cast("int")
 
 
 def plain(array: pa.Array) -> pa.Array:

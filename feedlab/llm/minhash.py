@@ -23,6 +23,9 @@ PERMUTATIONS = 128
 #: Bands of the signature and minima in each. At a similarity of 0.8 all 32 differ with a chance below 1e-7.
 BANDS, ROWS = 32, 4
 
+#: Ranges of ids for each task.
+RANGES = 8
+
 #: Shingles whose values under all permutations are held together.
 STEP = 1024
 
@@ -75,13 +78,14 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     The first row of each range is also sent, as a guest, to the range before it (that of the first range
     to the last), so every row has the one after it in its own partition. Only ids are looked at to find
-    the ranges; one row for each range is looked up and sent twice.
+    the ranges; one row for each range is looked up and sent twice. There are ``RANGES`` ranges for each task, so that
+    tasks get nearly the same number of rows; equal ids are in one range.
     """
     spark = docs.sparkSession
     rows = docs.select(document_key()[0], F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = rows.select("_id")
-    placed = range_of(range_bounds(ids, 2 * partitions(spark)))
+    placed = range_of(range_bounds(ids, RANGES * partitions(spark)))
     heads = ids.groupBy(placed.alias("_range")).agg(F.min("_id").alias("_id"))
     order = Window.orderBy("_range")  # one row for each range
     to = F.coalesce(F.lag("_range").over(order), F.max("_range").over(Window.partitionBy(F.lit(0))))
@@ -115,7 +119,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
                                               "near_edited", "near_next"]).astype({"doc_id": "Int64"})
 
     rows = with_next(docs).withColumn("none", F.col("doc_id").isNull()).drop("doc_id")
-    return (rows.repartition(partitions(spark), "_range").sortWithinPartitions("_range", "_guest", "_id", "text")
+    return (rows.repartitionByRange(partitions(spark), "_range").sortWithinPartitions("_range", "_guest", "_id", "text")
             .mapInPandas(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                               "edited_fingerprint string, near_edited double, near_next double"))
 
