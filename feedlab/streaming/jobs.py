@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlab.operators import anomaly, slices
+from feedlab.session import SETTINGS
 from feedlab.sinks.tables import write_slices
 from feedlab.state import partial_slices
 from feedlab.streaming.recent import RECENT, Recent
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ALERTS = ("metric STRING, ts TIMESTAMP_NTZ, value DOUBLE, previous DOUBLE, q25 DOUBLE, q75 DOUBLE, iqr DOUBLE, "
           "up DOUBLE, low DOUBLE, is_alert INT, deviation DOUBLE")
 
@@ -44,8 +46,18 @@ def alerts(closed: DataFrame, metrics: list[str], a: float = anomaly.FACTOR, n:
 
 
 def write_alerts(found: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Alerts to Parquet; the file sink commits each batch exactly once, also after a restart."""
-    return write_buckets(found, path, checkpoint, every)
+    """Alerts to Parquet; the file sink commits each batch exactly once, also after a restart.
+
+    The ring needs the RocksDB state store. A stream takes its settings when it starts, so the session has
+    that store named for the start only.
+    """
+    conf = found.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    try:
+        return write_buckets(found, path, checkpoint, every)
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
