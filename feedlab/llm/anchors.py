@@ -25,7 +25,7 @@ from feedlab.llm.vectors import first_rows, matrix, squared, whole_numbers, with
 
 #: Vectors of a block at most, and points of a ball that is not split.
 BLOCK = 2048
-LEAF = 24
+LEAF = 96
 
 
 @dataclass
